@@ -1,0 +1,14 @@
+"""The queries of the engine and their SQL equivalents, by name."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raise NotImplementedError
