@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_counts
+from . import packing, personal_data, token_counts, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -20,6 +20,16 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.find_spans(_documents(spark, sf_dir)))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out=held_out)
+    return toxicity.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"))
 
@@ -30,6 +40,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_personal_data": op2_personal_data,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
 }
