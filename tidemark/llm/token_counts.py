@@ -59,6 +59,12 @@ class PrefixCounter:
         self.edges: tuple[dict, dict] = ({}, {})
         self.nodes: dict[str, tuple[str, int, int]] = {}
         self.longest = max(map(len, self.vocab))
+        #: by token without word end: 1 if it is a token as it is, plus 2 if it is one with a word end
+        self.kinds: dict[str, int] = {}
+        for t in self.vocab:
+            ended = t.endswith(END) and t != END
+            key = t[: -len(END)] if ended else t
+            self.kinds[key] = self.kinds.get(key, 0) | (2 if ended else 1)
         self.symbol = byte_symbols()
         self.bound = bound
         self.units: dict[str, bytes] = {}
@@ -129,29 +135,29 @@ class PrefixCounter:
         """Of a prefix of a word: its last token and count without word end, and its count with it."""
         node = self.nodes.get(s)
         if node is None:
-            k, vocab = len(s), self.vocab
-            first = max(0, k - self.longest)
-            for j in range(first, k):
+            kinds, follows, k = self.kinds, self._follows, len(s)
+            inner = ended = 0
+            for j in range(max(0, k - self.longest), k):
                 t = s[j:]
-                if t in vocab:
-                    before = self._node(s[:j]) if j else _START
-                    if not j or self._follows(before[0], t):
-                        break
-            count = before[1] + 1
-            for j in range(first, k):
-                e = s[j:] + END
-                if e in vocab:
-                    before = self._node(s[:j]) if j else _START
-                    if not j or self._follows(before[0], e):
-                        break
-            if len(self.nodes) > 2 * self.bound:
+                kind = kinds.get(t)
+                if not kind:
+                    continue
+                before = (self.nodes.get(s[:j]) or self._node(s[:j])) if j else _START
+                if not inner and kind & 1 and (not j or follows(before[0], t)):
+                    last, inner = t, before[1] + 1
+                if not ended and kind & 2 and (not j or follows(before[0], t + END)):
+                    ended = before[1] + 1
+                if inner and ended:
+                    break
+            if len(self.nodes) > 3 * self.bound:
                 self.nodes.clear()
-            node = self.nodes[s] = (t, count, before[1] + 1)
+            node = self.nodes[s] = (last, inner, ended)
         return node
 
     def _dp(self, piece: str) -> tuple[int, ...]:
         if piece.isascii() and piece.isprintable():
-            return tuple([self._node(piece[:k])[2] for k in range(1, len(piece) + 1)])
+            known, node = self.nodes.get, self._node
+            return tuple([(known(p) or node(p))[2] for p in [piece[:k] for k in range(1, len(piece) + 1)]])
         s, ends, k = "".join(self.symbol[b] for b in piece.encode()), set(), 0
         for c in piece:
             k += len(c.encode())
@@ -181,7 +187,7 @@ class PrefixCounter:
         if word:
             counts = self.piece(word)
             blank += struct.pack(f"<{len(counts)}h", counts[0], *map(int.__sub__, counts[1:], counts))
-        if len(self.latin_units) > self.bound:
+        if len(self.latin_units) > 2.5 * self.bound:
             self.latin_units.clear()
         self.latin_units[unit] = blank
         return blank
