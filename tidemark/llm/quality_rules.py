@@ -32,6 +32,8 @@ SYMBOLS = "#*$%&|<>"
 #: Character classes: (name, characters) counted by removal; letters by case follow from what changes. Fixed values.
 CLASSES = (("digit", "0123456789"), ("symbol", SYMBOLS), ("shout", "!?"), ("stop", ".,;:"), ("space", ASCII_SPACE), ("bracket", "()[]{}\"'/\\-_+=@~^`"), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÀÂÇÉÈÊËÎÏÔÙÛÁÍÓÚÑ"))
 WINDOW = 5
+#: Runs of lower-case letters, none of which is in CLASSES. Fixed value.
+LOWER = "[a-zß-öø-ÿ]+"
 
 
 def words_of(text: Column) -> Column:
@@ -44,14 +46,6 @@ def _without(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
-def _window_hashes(words: Column) -> Column:
-    """64-bit hashes of all 5-word windows, in order."""
-    n = F.size(words)
-    # windows as rows of one zip over the shifted arrays, so no window is built by copying slices
-    shifted = [F.slice(words, i + 1, F.greatest(n - (WINDOW - 1), F.lit(0))) for i in range(WINDOW)]
-    return F.when(n >= WINDOW, F.transform(F.arrays_zip(*shifted), lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
-
-
 def _with_repeats(df: DataFrame) -> DataFrame:
     """Add `twice`: positions, in order, of the windows that occur twice or more.
 
@@ -59,7 +53,12 @@ def _with_repeats(df: DataFrame) -> DataFrame:
     sorted by hash and neighbours compared. Each step is a column of its own:
     an expression inside a lambda is evaluated anew for every element.
     """
-    df = df.withColumn("hashes", _window_hashes(F.col("words")))
+    # hashes of words, of pairs, of pairs of pairs, then of five words: three cheap steps an element
+    zipped = lambda a, b, k: F.zip_with(a, F.slice(b, k, F.greatest(F.size(b) - (k - 1), F.lit(0))), lambda x, y: F.xxhash64(x, y))
+    df = df.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w))).withColumn("h2", zipped("h1", "h1", 2))
+    df = df.withColumn("h4", zipped("h2", "h2", 3))
+    # zip_with pads the shorter side: what lies beyond the last whole window goes
+    df = df.withColumn("hashes", F.slice(zipped("h4", "h1", WINDOW), F.lit(1), F.greatest(F.size("h1") - (WINDOW - 1), F.lit(0))))
     df = df.withColumn("placed", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
     h = lambda i: F.get("placed", i)["h"]
     df = df.withColumn("marked", F.transform("placed", lambda x, i: F.when((x["h"] == h(i - 1)) | (x["h"] == h(i + 1)), x["i"])))
@@ -78,21 +77,23 @@ def counts(docs: DataFrame, symbols: str = SYMBOLS) -> DataFrame:
     everything = sorted({w for ws in COMMON.values() for w in ws})
     for lang, ws in COMMON.items():
         listed = F.when(F.col("lang") == lang, F.array(*map(F.lit, ws))).otherwise(listed)
-    common = F.filter("words", lambda w: F.lower(w).isin(everything))
-    base = base.withColumn("common", F.transform(common, lambda w: F.lower(w))).withColumn("listed", F.coalesce(listed, F.array(*map(F.lit, everything))))
+    base = base.withColumn("common", F.filter("words", lambda w: w.isin(everything)))
+    # lower-case letters are most of a text: classes are counted in what remains without them
+    base = base.withColumn("rest", F.regexp_replace("text", LOWER, ""))
+    base = base.withColumn("listed", F.coalesce(listed, F.array(*map(F.lit, everything))))
     return base.select(
         "doc_id",
         "lang",
         F.size("words").cast("long").alias("n_words"),
-        (F.length("text") - _without(F.col("text"), ASCII_SPACE)).cast("long").alias("word_chars"),
-        _without(F.col("text"), symbols).cast("long").alias("n_symbols"),
+        (F.length("text") - _without(F.col("rest"), ASCII_SPACE)).cast("long").alias("word_chars"),
+        _without(F.col("rest"), symbols).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.aggregate(
             F.transform("twice", lambda p, i: F.least(F.coalesce(F.get("twice", i + 1) - p, F.lit(WINDOW)), F.lit(WINDOW)).cast("long")),
             F.lit(0).cast("long"),
             lambda a, x: a + x,
         ).alias("n_repeat_words"),
-        F.array(*(_without(F.col("text"), chars).cast("double") for _, chars in CLASSES), F.length("text").cast("double")).alias("classes"),
+        F.array(*(_without(F.col("rest"), chars).cast("double") for _, chars in CLASSES), F.length("text").cast("double")).alias("classes"),
         F.transform("listed", lambda w: (F.size("common") - F.size(F.array_remove("common", w))).cast("double")).alias("common"),
     )
 
@@ -110,21 +111,28 @@ def jensen_shannon(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
-def judge(docs: DataFrame, max_class_distance: float = 0.2, max_word_distance: float = 0.5, min_words: int = 40) -> DataFrame:
-    """Counts, distances and verdict of every document."""
+def judge(docs: DataFrame, class_limit: tuple[float, float] = (0.14, 0.9), word_limit: tuple[float, float] = (0.12, 1.7), min_words: int = 40) -> DataFrame:
+    """Counts, distances and verdict of every document.
+
+    A limit (a, b) stands for a distance of a + b / sqrt(n_words): short texts
+    scatter more around their language's distribution.
+    """
     counted = materialize(counts(docs), "quality-counts")
     counted = counted.withColumn("lang_key", F.coalesce("lang", F.lit("\0")))
     n_classes, n_common = len(CLASSES), max(map(len, [*COMMON.values(), {w for ws in COMMON.values() for w in ws}]))
-    sums = counted.groupBy("lang_key").agg(
+    n = F.col("n_words")
+    failed = (n < 10) | (100 * F.col("n_repeat_words") > 20 * n)
+    # junk must not shape the references: only texts that pass the base rules and hold few symbols do
+    plain = counted.where(~failed & (50 * F.col("n_symbols") <= F.col("word_chars")))
+    sums = plain.groupBy("lang_key").agg(
         F.array(*(F.sum(F.col("classes")[i]) for i in range(n_classes + 1))).alias("ref_classes"),
         F.array(*(F.coalesce(F.sum(F.get("common", F.lit(i))), F.lit(0.0)) for i in range(n_common))).alias("ref_common"),
         F.sum("n_words").cast("double").alias("ref_words"),
     )
-    both = counted.join(sums, "lang_key")
+    both = counted.join(sums, "lang_key", "left")
     classes = lambda c: _distribution(F.slice(F.col(c), 1, n_classes), F.col(c)[n_classes])
     common = lambda c, n: _distribution(F.slice(F.col(c), F.lit(1), F.size("common")), F.col(n).cast("double"))
-    n = F.col("n_words")
-    failed = (n < 10) | (100 * F.col("n_repeat_words") > 20 * n)
-    distant = (n >= min_words) & ((F.col("class_distance") > max_class_distance) | (F.col("word_distance") > max_word_distance))
+    beyond = lambda c, limit: F.col(c) > limit[0] + limit[1] / F.sqrt(n)
+    distant = (n >= min_words) & (beyond("class_distance", class_limit) | beyond("word_distance", word_limit))
     both = both.withColumn("class_distance", jensen_shannon(classes("classes"), classes("ref_classes"))).withColumn("word_distance", jensen_shannon(common("common", "n_words"), common("ref_common", "ref_words")))
     return both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~distant).alias("kept"), "class_distance", "word_distance")

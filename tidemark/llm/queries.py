@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, personal_data, quality_rules, token_counts, toxicity
+from . import mixing, packing, personal_data, quality_rules, token_counts, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -24,6 +24,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.find_spans(_documents(spark, sf_dir)))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = _documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out=held_out)
@@ -45,6 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
+    "op5_mixing": op5_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
