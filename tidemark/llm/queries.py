@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, personal_data, quality_model, quality_rules, token_counts, toxicity
+from . import mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, token_counts, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -24,6 +24,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.find_spans(_documents(spark, sf_dir)))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.duplicates(_documents(spark, sf_dir))
+
+
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_model.verdicts(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.select("doc_id", "lang", "bits", F.pow(F.lit(2.0), "bits").alias("perplexity"), "bits_limit", "kept")
@@ -54,6 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_quality_model": op4_quality_model,
     "op5_mixing": op5_mixing,
     "op7_toxicity": op7_toxicity,
