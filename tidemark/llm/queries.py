@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, token_counts, toxicity
+from . import mixing, near_duplicates, near_vectors, packing, personal_data, quality_model, quality_rules, token_counts, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -20,6 +20,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.find_spans(_documents(spark, sf_dir)))
 
@@ -57,6 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_personal_data": op2_personal_data,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_quality_model": op4_quality_model,
