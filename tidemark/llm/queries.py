@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_duplicates, near_vectors, packing, personal_data, quality_model, quality_rules, token_counts, toxicity
+from . import mixing, near_duplicates, near_vectors, packing, personal_data, quality_model, quality_rules, token_counts, token_output, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -41,6 +41,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.write_shards(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))[0]
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = _documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out=held_out)
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_quality_model": op4_quality_model,
     "op5_mixing": op5_mixing,
+    "op6_token_output": op6_token_output,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,

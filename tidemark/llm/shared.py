@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import tempfile
 import uuid
+from array import array
 
 import numpy as np
 import regex
@@ -42,13 +44,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def byte_symbols() -> list[str]:
+    """The printable stand-in of each byte in byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+
+
 class MemoEncoder:
     """Byte-level BPE ids of whole texts, encoded piece by piece.
 
     Byte-level BPE never merges across the pieces of its splitting pattern, so
     the ids of a text are those of its pieces in order, and pieces repeat a lot.
-    The pieces' ids come from the tokenizers library and are kept up to `bound`
-    pieces. Texts that hold a special string go to the library whole.
+    A piece's ids are kept, up to `bound` pieces. New pieces are merged by
+    tiktoken's core over the ranks of the tokenizers file itself, which gives the
+    ids of the tokenizers library several times faster; a vocabulary whose ids
+    do not follow its merges, and texts with special strings, go to the library.
     """
 
     #: The splitting pattern of byte-level BPE. Fixed values.
@@ -60,6 +71,7 @@ class MemoEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.bound = bound
         self.memo: dict[str, bytes] = {}
+        self.single = self._core(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         latin = [chr(i) for i in range(256)]
         named = {
@@ -76,6 +88,24 @@ class MemoEncoder:
         ).findall
         self.any = regex.compile(self.PIECES.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"(?!\S)", r"(?!\P{White_Space})")).findall
 
+    @staticmethod
+    def _core(path: str):
+        """tiktoken's merge of one piece over the file's vocabulary, or None if ids do not follow the merges."""
+        import json
+
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, merges = model["vocab"], [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
+        made = [vocab.get(a + b) for a, b in merges]
+        if len(set(made)) != len(made) or None in made or made != sorted(made):
+            return None
+        byte = {c: b for b, c in enumerate(byte_symbols())}
+        known = {*made, *(vocab[c] for c in byte if c in vocab)}
+        ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if i in known}
+        return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+
     def _learn(self, pieces: list[str]) -> None:
         fresh = [p for p in set(pieces) if p not in self.memo]
         if not fresh:
@@ -83,6 +113,10 @@ class MemoEncoder:
         if len(self.memo) + len(fresh) > self.bound:
             self.memo.clear()
             fresh = list(set(pieces))
+        if self.single and sys.byteorder == "little":
+            for p in fresh:
+                self.memo[p] = array("I", self.single(p)).tobytes()
+            return
         for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
             self.memo[p] = np.array(e.ids, dtype="<u4").tobytes()
 

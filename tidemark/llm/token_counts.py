@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import byte_symbols
+
 #: Unicode White_Space. Fixed values.
 SPACE = "\t\n\x0b\f\r \x85\xa0  -     　"
 #: The splitting pattern of the word-end vocabulary. Fixed values.
@@ -34,13 +36,6 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Spa
 END = "</w>"
 
 
-def byte_symbols() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spare = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
-
-
 class PrefixCounter:
     """Prefix token counts under a byte-level BPE vocabulary with word ends."""
 
