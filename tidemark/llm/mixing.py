@@ -99,16 +99,14 @@ def _plan(base: DataFrame, share: float, most: float, weights: tuple[float, ...]
     return settled.unionByName(large.select(*cols, "size", "n", "extra"))
 
 
-def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, steps: int = 2048, bucket: int = 250) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies) of every document."""
-    source = F.col("source").cast("string")
-    base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        source.alias("source"),
-        F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("skey"),  # a key that null sources have too
-        word_count(F.col("text").cast("string")).alias("size"),
-        F.xxhash64(F.col("doc_id").cast("long")).alias("hash"),
-    )
+def _key() -> Column:
+    """A key by source that null sources have too."""
+    return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+
+
+def _copies(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, steps: int = 2048, bucket: int = 250) -> DataFrame:
+    """(doc_id, skey, size, source_size, target, copies) of every document."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _key().alias("skey"), word_count(F.col("text").cast("string")).alias("size"), F.xxhash64(F.col("doc_id").cast("long")).alias("hash"))
     base = materialize(base, "mix-sizes")
     plan = materialize(_plan(base, share, most, weights, steps), "mix-plan")
     rows = base.drop("source").join(plan, ["skey", "size"])
@@ -117,9 +115,32 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[f
     # of a class in several buckets, each bucket gives the extra copies between its first and last place
     counted = rows.where((F.col("n") > bucket) & (F.col("extra") > 0) & (F.col("extra") < F.col("n"))).groupBy("skey", "size", "bucket", "n", "extra").agg(F.count("*").alias("here"))
     upto = F.sum("here").over(Window.partitionBy("skey", "size").orderBy("bucket"))
-    share_at = lambda at: F.expr("0L") + F.floor(F.col("extra") * at / F.col("n"))
+    share_at = lambda at: F.floor(F.col("extra") * at / F.col("n"))
     counted = counted.select("skey", "size", "bucket", (share_at(upto) - share_at(upto - F.col("here"))).alias("given"))
     ranked = rows.join(counted, ["skey", "size", "bucket"], "left")
     rank = F.row_number().over(Window.partitionBy("skey", "size", "bucket").orderBy("hash", "doc_id"))
     copies = F.col("whole") + (rank <= F.coalesce("given", "extra")).cast("long")
-    return ranked.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
+    return ranked.select("doc_id", "skey", "size", "source_size", "target", copies.alias("copies"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies) of every document; options as in _copies()."""
+    return _copies(docs, **options).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """docs with every row as often as the mix takes it, all columns kept.
+
+    Copies are decided on ids and sizes alone; texts move once, to meet their
+    copies. Rows that agree in id, source and size share what these were given.
+    """
+    given = materialize(_copies(docs, **options).groupBy("doc_id", "skey", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix-copies")
+    left = docs.withColumn("mix_id", F.col("doc_id").cast("long")).withColumn("mix_key", _key()).withColumn("mix_size", word_count(F.col("text").cast("string")))
+    given = given.select(F.col("doc_id").alias("given_id"), F.col("skey").alias("given_key"), F.col("size").alias("given_size"), F.col("copies").alias("given_copies"), F.col("rows").alias("given_rows"))
+    both = left.join(given, F.col("mix_id").eqNullSafe(F.col("given_id")) & (F.col("mix_key") == F.col("given_key")) & (F.col("mix_size") == F.col("given_size")))
+    own = F.col("given_copies")
+    if given.where("given_rows > 1").count():
+        place = F.row_number().over(Window.partitionBy("given_id", "given_key", "given_size").orderBy("mix_size"))
+        own = F.floor(F.col("given_copies") / F.col("given_rows")) + (place <= F.col("given_copies") % F.col("given_rows")).cast("long")
+    both = both.withColumn("mix_copies", own).where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    return both.select(*docs.columns)

@@ -267,3 +267,23 @@ def duplicates(docs: DataFrame, percent: int = 85, block: int = 256, miss: float
     classes = materialize(classes, "near-classes")
     out = sets.drop("signature").join(classes, ["f1", "f2"], "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def without_duplicates(docs: DataFrame, percent: int = 80, **options) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest id, with the columns of docs.
+
+    Rows that repeat an id leave one row, the one whose text comes first; rows
+    without an id stay. The rows to drop are joined by id, so with few of them
+    no text moves.
+    """
+    found = duplicates(docs, percent, **options)
+    dropped = materialize(found.where("NOT kept").select("doc_id").distinct(), "near-dropped")
+    dropped = F.broadcast(dropped) if dropped.count() <= MOST_BROADCAST else dropped
+    kept = docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
+    repeated = materialize(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "near-repeated")
+    if not repeated.count():
+        return kept
+    again = kept.join(repeated, kept["doc_id"].cast("long") == repeated["doc_id"], "left_semi")
+    first = again.groupBy("doc_id").agg(F.min(F.struct(*(F.col(c) for c in ("text", *(c for c in docs.columns if c not in ("text", "doc_id")))))).alias("row"))
+    first = first.select(*(F.col(c) if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns))
+    return kept.join(repeated, kept["doc_id"].cast("long") == repeated["doc_id"], "left_anti").unionByName(first)
