@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from .queries import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES", "entry_query"]
 
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Which benchmark passages occur word for word in which documents."""
+    return QUERIES["exact_quotes"](spark, sf_dir)
