@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .shared import byte_symbols
 
 #: Unicode White_Space. Fixed values.
-SPACE = "\t\n\x0b\f\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The splitting pattern of the word-end vocabulary. Fixed values.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+").findall
 END = "</w>"
@@ -227,7 +227,7 @@ class PrefixCounter:
 
 
 _START = ("", 0, 0)
-_SPACES = "\t\n\x0b\f\r \x85\xa0                　"
+_SPACES = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _COUNTERS: dict[str, PrefixCounter] = {}
 
 
