@@ -34,6 +34,8 @@ ALPHABET, ORDER = 48, 4
 MOST_ENTRIES = 8_000_000
 #: Most trusted labels that are broadcast (16 bytes each); beyond it they are joined by shuffle.
 MOST_LABELS = 4_000_000
+#: Most languages whose limits are broadcast.
+MOST_LANGUAGES = 100_000
 
 
 def code_points(text: str) -> np.ndarray:
@@ -180,7 +182,9 @@ def verdicts(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack:
     scored = score(trusted, model).where(F.length("text") >= enough).select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang_key"), "bits")
     scored = materialize(scored, "lm-trusted")
     at = F.percentile_approx("bits", quantile, 10_000)
-    limits = scored.groupBy("lang_key").agg(at.alias("limit"))
+    limits = materialize(scored.groupBy("lang_key").agg(at.alias("limit")), "lm-limits")
+    # one row a language: broadcast, so that no text moves to meet its limit, unless there are too many
+    limits = F.broadcast(limits) if limits.count() <= MOST_LANGUAGES else limits
     overall = scored.agg(at.alias("limit")).first()["limit"]
     out = score(docs, model).withColumn("lang_key", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(limits, "lang_key", "left").drop("lang_key")
     length = F.length("text")
