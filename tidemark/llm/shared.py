@@ -65,7 +65,7 @@ class MemoEncoder:
     #: The splitting pattern of byte-level BPE. Fixed values.
     PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str, bound: int = 1_200_000):
+    def __init__(self, path: str, bound: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
