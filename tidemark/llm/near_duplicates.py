@@ -182,7 +182,7 @@ def _stars(keyed: DataFrame, limit: int, percent: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs(batches, "key"):
             ids, n = (table.column(c).to_numpy() for c in ("id", "n"))
-            p = [table.column(c).to_numpy() for c in ("p0", "p1", "p2")]
+            p = [table.column(c).to_numpy().view(_U) for c in ("p0", "p1", "p2")]  # unsigned: bits of a negative number are counted in its absolute value
             sizes, edges = np.diff(starts), []
             two = starts[:-1][sizes == 2]  # most groups that are any
             if len(two):
