@@ -72,9 +72,16 @@ class Cache:
         self.spark, self.path = spark, path
 
     def read(self) -> DataFrame:
+        """The answers so far.
+
+        Read file by file: two reads of one path count as the same scan within a
+        plan, although answers may have come between them.
+        """
         from ..sources.subtitles import read_table
 
-        return read_table(self.spark, "model_cache", self.path).dropDuplicates(["key"])
+        table = read_table(self.spark, "model_cache", self.path)
+        files = table.inputFiles()
+        return self.spark.read.schema(SCHEMAS["model_cache"]).parquet(*files).dropDuplicates(["key"]) if files else table
 
     def answer(self, requests: DataFrame, provider: Provider, system: str | None = None, max_tokens: int = 16_000, effort: str | None = None) -> DataFrame:
         """requests (with `prompt`, and `images` as binaries if any) with `key` and `answer`."""

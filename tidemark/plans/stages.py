@@ -41,10 +41,16 @@ def prompt(name: str, **holes) -> Column:
 
 
 def answers_as(answered: DataFrame, schema: str, array: bool) -> DataFrame:
-    """Parse `answer` into `parsed`; an answer that does not parse is an error when it is read."""
+    """Parse `answer` into `parsed`; an answer without JSON is an error.
+
+    The check runs over the answers by itself: an error raised in an expression
+    could be moved below the join with the cache, to rows of other requests.
+    """
     text = T.json_text(F.col("answer"), array)
-    parsed = F.from_json(F.coalesce(text, F.raise_error(F.concat(F.lit("no JSON in the answer: "), F.substring("answer", 1, 200)))), schema)
-    return answered.withColumn("parsed", parsed)
+    bad = answered.where(text.isNull()).select(F.substring("answer", 1, 200)).limit(1).collect()
+    if bad:
+        raise EngineError(f"no JSON in the answer: {bad[0][0]}")
+    return answered.withColumn("parsed", F.from_json(text, schema))
 
 
 def materialized(df: DataFrame, path: str) -> DataFrame:
