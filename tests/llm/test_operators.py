@@ -1,0 +1,387 @@
+"""Operators of the llm subpackage against plain models on small tables."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import mixing, near_duplicates, near_vectors, packing, personal_data, quality_model, quality_rules, token_counts, token_output, toxicity
+from tidemark.llm.components import components
+from tidemark.llm.shared import MemoEncoder, encoder
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, extra string, copies int"
+VOCABULARY = "the of and river stone walks under bright seven maps hold quiet engines near copper hills while rain falls slowly on old roofs again".split()
+
+
+def docs(spark, texts, langs=None, sources=None, ids=None):
+    n = len(texts)
+    rows = [(ids[i] if ids else i, t, (langs or ["en"] * n)[i], (sources or ["s"] * n)[i], len(t or ""), "x", 9) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOC)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(VOCABULARY) for _ in range(n))
+
+
+EDGES = [None, "", " \n\t ", "one", "a b c d", "word " * 3000, "x" * 30_000, "é \x1c ü   漢字 \U0001f600", "<|endoftext|> a <|startoftext|>", "same text again", "same text again"]
+
+
+# ---- packing, token output, token counts
+
+
+def test_packing_keeps_every_id_once(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(1)
+    texts = EDGES + [prose(rng, rng.choice([1, 30, 300, 5000])) for _ in range(60)]
+    d = docs(spark, texts).repartition(3)
+    rows = packing.pack(d, path).collect()
+    code = encoder(path)
+    want = {i: np.frombuffer(code.encode(t or ""), "<u4").tolist() + [1] for i, t in enumerate(texts)}
+    got, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        got[r["doc_id"]].append((r["start"], np.frombuffer(bytes(r["ids"]), "<u4").tolist()))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert r["doc_tokens"] == len(want[r["doc_id"]]) and r["length"] == len(r["ids"]) // 4 > 0
+    assert {i: [x for _, p in sorted(v) for x in p] for i, v in got.items()} == want
+    for s in sequences.values():
+        s.sort()
+        total = 0
+        for offset, length in s:
+            assert offset == total
+            total += length
+        assert total == 2048 or total & (total - 1) == 0  # no padding at all
+    assert packing.pack(docs(spark, []), path).count() == 0
+
+
+def test_encoder_like_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    code = MemoEncoder(path, bound=50)
+    rng = random.Random(2)
+    for t in [t for t in EDGES if t] + ["it's we'll  2024½ x²\xa0\x85 \r\n\n  end  ", *(prose(rng, 50) for _ in range(20))]:
+        assert np.frombuffer(code.encode(t), "<u4").tolist() == code.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_prefix_counts_like_the_library(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    c = token_counts.counter(path)
+    texts = ["Hello, IT'S the they're 'tis!! 12", "naïve Straße ÀÉ ǅ İx ΑΣ éa", "漢字かな \U0001f600‍ x", "a<|endoftext|>b!!<|startoftext|>", "aaaa aaaaaaa ababab", "\x1c\x1fz  y"]
+    for t in texts:
+        assert c.table(t).tolist() == [len(c.tokenizer.encode(t[:k], add_special_tokens=False).ids) for k in range(len(t) + 1)], t
+    rows = token_counts.count_tokens(docs(spark, EDGES), path, limit=20, with_steps=True).orderBy("doc_id").collect()
+    for r, t in zip(rows, EDGES):
+        t = t or ""
+        n = len(c.tokenizer.encode(t, add_special_tokens=False).ids)
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(t.encode()), n, n > 20)
+        table = np.concatenate([[0], np.cumsum(np.frombuffer(bytes(r["steps"]), "<i2"))])
+        assert r["fit_chars"] == max(k for k, v in enumerate(table) if v <= 20)
+
+
+def test_shards_round_trip(spark, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(3)
+    texts = EDGES + [prose(rng, rng.choice([5, 400])) for _ in range(40)]
+    manifest, where = token_output.write_shards(docs(spark, texts).repartition(3), path, length=64, shards=5, path=f"file://{tmp_path}/shards")
+    rows = manifest.orderBy("slot").collect()
+    assert [r["slot"] for r in rows] == list(range(len(rows)))
+    sequences = list(token_output.read_sequences(where))
+    assert len(sequences) == len(rows)
+    for r, s in zip(rows, sequences):
+        assert zlib.crc32(s[: r["n_tokens"]].tobytes()) == r["ids_crc32"] and len(s) == 64 and not s[r["n_tokens"] :].any()
+    assert [s.tolist() for s in token_output.read_sequences(where, 3, 4)] == [s.tolist() for s in sequences[3:7]]
+    want = collections.Counter(x for t in texts for x in [*np.frombuffer(encoder(path).encode(t or ""), "<u4").tolist(), 50256])
+    assert collections.Counter(x for r, s in zip(rows, sequences) for x in s[: r["n_tokens"]].tolist()) == want
+    again, _ = token_output.write_shards(docs(spark, []), path, path=f"file://{tmp_path}/none")
+    assert again.count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 1000, 4097])
+def test_feistel_is_a_permutation(size):
+    f = token_output.Feistel(size, 5)
+    x = f.forward(np.arange(size))
+    assert sorted(x.tolist()) == list(range(size)) and f.inverse(x).tolist() == list(range(size))
+    assert size < 1000 or (x != token_output.Feistel(size, 6).forward(np.arange(size))).any()
+
+
+# ---- near duplicates
+
+
+def closure(ids, links):
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_like_brute_force(spark, percent):
+    rng = random.Random(4)
+    base = [prose(rng, n) for n in (120, 200, 40, 8)]
+    texts = [None, "", "  ", "one two", "ONE two", "one  two\n", "one two three"]
+    for b in base:
+        for _ in range(25):
+            w = b.split()
+            for _ in range(rng.randrange(0, 4)):
+                w[rng.randrange(len(w))] = rng.choice(VOCABULARY)
+            texts.append(" ".join(w) if rng.random() < 0.8 else " ".join(w).upper())
+    texts += [prose(rng, 60) for _ in range(20)]
+    ids = rng.sample(range(1000), len(texts))
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    links = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    want = closure(ids, links)
+    d = docs(spark, texts, ids=ids)
+    got = near_duplicates.duplicates(d, percent, block=16).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(s) for i, s in zip(ids, sets)}
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    kept = near_duplicates.without_duplicates(d, percent, block=16)
+    assert kept.columns == d.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_near_duplicates_edges(spark):
+    assert near_duplicates.duplicates(docs(spark, [])).count() == 0
+    d = docs(spark, ["a b c d e f", "a b c d e f", "a b c d e f", "other"], ids=[3, 3, None, 5])
+    got = sorted((r["doc_id"] or -1, r["component_id"] or -1, r["kept"]) for r in near_duplicates.duplicates(d).collect())
+    assert got == [(-1, -1, True), (3, 3, True), (3, 3, True), (5, 5, True)]
+    assert sorted(str(r["doc_id"]) for r in near_duplicates.without_duplicates(d).collect()) == ["3", "5", "None"]
+
+
+def test_signature_guarantee():
+    for s in (0.8, 0.85):
+        limit = near_duplicates.distance_limit(s)
+        parts = near_duplicates.chunks(limit)
+        assert sum(map(len, parts)) == near_duplicates.SYMBOLS and limit < 2 * len(parts)
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1040)] + [(2000, 2000 + i) for i in range(50)] + [(7, 7), (None, 3)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    real = [(a, b) for a, b in edges if a is not None and a != b]
+    want = closure({x for e in real for x in e}, real)
+    assert {r["node"]: r["root"] for r in components(df).collect()} == want
+    assert components(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("shard", [7, 2048])
+def test_near_vectors_like_brute_force(spark, shard):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(6, 16))
+    rows, i = [], 0
+    for b in base:
+        for k in range(12):
+            v = b + rng.normal(size=16) * rng.choice([0.01, 0.05, 0.12])
+            rows.append((i, [float(np.float32(x)) for x in v * rng.choice([1, 3])], int(k % 2)))
+            i += 1
+    rows += [(i + j, rows[j][1], rows[j][2]) for j in range(5)]
+    bad = [(900, None, 0), (901, [0.0] * 16, 0), (902, [float("nan")] + [1.0] * 15, 0), (903, [None] + [1.0] * 15, 0), (904, rows[0][1], None), (905, rows[0][1][:8], 0), (906, [float("inf")] + [0.0] * 15, 0), (907, [], 0)]
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = [(rows[a][0], rows[b][0]) for a in range(len(rows)) for b in range(a) if rows[a][2] == rows[b][2] and x[a] @ x[b] >= 0.98]
+    want = closure([r[0] for r in rows + bad], hit)
+    n = collections.Counter(y for h in hit for y in h)
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, label int")
+    got = near_vectors.near_vectors(df, shard=shard).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {v: (n[v], want[v]) for v in want}
+    assert near_vectors.near_vectors(df.limit(0)).count() == 0
+
+
+# ---- personal data
+
+
+def plain_spans(text):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    out = [(m.start(), 0, m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(m.start(), 1, m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), 2, m.end(), "card") for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 12 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    out += [(m.start(), 3, m.end(), "phone") for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(digits(m[0])) <= 15]
+    return [(s, e, k) for s, _, e, k in sorted(out)]
+
+
+def test_base_spans_like_the_patterns():
+    rng = random.Random(7)
+    pieces = ["4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 010-9999", "a.b+c@d-e.co.uk", "x@@y.zz", "a@b@c.de.f", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "001.02.3.255", "@", ".", " ", "é", "+", "12", "-", "4242424242424242", "a@b", "q@r.s."]
+    for _ in range(3000):
+        t = "".join(rng.choice(pieces) + rng.choice(["", "", " "]) for _ in range(rng.randrange(1, 9)))
+        assert personal_data.base_spans(t) == plain_spans(t), t
+
+
+def test_spans_and_redaction(spark):
+    texts = ["Call 030 123 456 78 now", "030 123 456 78", "pay to DE89 3704 0044 0532 0130 00 please", "DE88 3704 0044 0532 0130 00", "card 4111111111111111, mail a@b.cc", *EDGES]
+    rows = personal_data.digest(personal_data.find_spans(docs(spark, texts))).orderBy("doc_id").collect()
+    assert [r["spans"] for r in rows[:5]] == ["number:5:19", "", "iban:7:34", "", "card:5:21,email:28:34"]
+    for r, t in zip(rows, texts):
+        base = plain_spans(t or "")
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in base).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in personal_data.BASE] == [sum(x[2] == k for x in base) for k in personal_data.BASE]
+    clean = personal_data.redact(docs(spark, texts)).orderBy("doc_id").collect()
+    assert clean[4]["text"] == "card [CARD], mail [EMAIL]" and clean[4]["n_chars"] == len(clean[4]["text"]) and clean[5]["text"] is None
+    assert all(not plain_spans(r["text"] or "") for r in clean) and [r["extra"] for r in clean] == ["x"] * len(texts)
+
+
+# ---- quality, mixing, toxicity
+
+
+def test_rules_like_plain_counts(spark):
+    rng = random.Random(8)
+    texts = EDGES + ["a b c d e f g\na b c d e f g\n\n \n a b c d e f g", "x y " * 40, "A#b *c$ d%&|<>", *(prose(rng, n) + "\n" + prose(rng, 9) for n in (4, 5, 20, 60)), "1 2 3 4 5 1 2 3 4 5 6 7"]
+    rows = quality_rules.judge(docs(spark, texts, langs=[None, "en", "xx"] + ["en"] * (len(texts) - 3))).orderBy("doc_id").collect()
+    for r, t in zip(rows, texts):
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        n = collections.Counter(windows)
+        covered = {j for i, x in enumerate(windows) if n[x] > 1 for j in range(i, i + 5)}
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)), t[:40]
+        assert r["base_failed"] == (len(w) < 10 or 100 * len(covered) > 20 * len(w)) and not (r["kept"] and r["base_failed"])
+    assert quality_rules.judge(docs(spark, [])).count() == 0
+
+
+def test_jensen_shannon(spark):
+    df = spark.createDataFrame([([1.0, 0.0], [0.0, 1.0]), ([0.5, 0.5], [0.5, 0.5]), ([0.75, 0.25], [0.25, 0.75])], "p array<double>, q array<double>")
+    got = [r[0] for r in df.select(quality_rules.jensen_shannon(F.col("p"), F.col("q"))).collect()]
+    assert got == pytest.approx([1.0, 0.0, 0.43440], abs=1e-4)
+
+
+def test_mixing(spark):
+    rng = random.Random(9)
+    sources = [rng.choice(["a", "b", "c", "ß", None]) for _ in range(400)] + ["hot"] * 600
+    texts = [None if i % 50 == 7 else prose(rng, rng.choice([1, 3, 10, 80])) for i in range(len(sources))]
+    texts[400:800] = ["five words of equal size"] * 400
+    rows = mixing.mix(docs(spark, texts, sources=sources), bucket=50).collect()
+    sizes = collections.Counter()
+    for t, s in zip(texts, sources):
+        sizes[s] += len((t or "").split())
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None]
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, free, rest = {}, set(order), 1.5 * sum(sizes.values())
+    while free:
+        w = sum(weight[s] for s in free)
+        over = [s for s in free if rest * weight[s] / w > 2 * sizes[s]]
+        target |= {s: 2.0 * sizes[s] for s in over} if over else {s: rest * weight[s] / w for s in free}
+        free -= set(over) if over else free
+        rest -= sum(target[s] for s in over)
+    taken = collections.Counter()
+    for r in rows:
+        s = sources[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(target[s]) and r["taken"] <= 2 * r["size"] and r["size"] == len((texts[r["doc_id"]] or "").split())
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - target[s]) <= 3 for s in order)
+    again = mixing.mix(docs(spark, texts, sources=sources).repartition(7), bucket=50)
+    assert {r["doc_id"]: r["taken"] for r in again.collect()} == {r["doc_id"]: r["taken"] for r in rows}
+    d = docs(spark, texts, sources=sources)
+    out = mixing.mixed(d, bucket=50)
+    assert out.columns == d.columns
+    assert collections.Counter(r["doc_id"] for r in out.collect()) == collections.Counter({r["doc_id"]: r["copies"] for r in rows if r["copies"]})
+    assert mixing.mix(docs(spark, [])).count() == 0
+    assert {r["taken"] for r in mixing.mix(docs(spark, [None, ""])).collect()} == {0}
+
+
+def test_kneser_ney_like_dictionaries(spark):
+    rng = random.Random(10)
+    size, order = 5, 3
+    text = [rng.randrange(1, size) if rng.random() < 0.9 else 0 for _ in range(400)]
+    counts = collections.Counter(tuple(text[i : i + order]) for i in range(len(text) - order + 1))
+    code = lambda g: sum(x * size ** (len(g) - 1 - i) for i, x in enumerate(g))
+    tables = {order: counts}
+    for k in range(order - 1, 0, -1):
+        tables[k] = collections.Counter(g[1:] for g in tables[k + 1])
+
+    def p(g):
+        k = len(g)
+        if not k:
+            return 1 / size
+        t = tables[k]
+        n = [sum(c == i for c in t.values()) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
+        d = [0, *(max(0.0, min(0.99 * i, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and n[i + 1] else 0.5 for i in (1, 2, 3))]
+        disc = lambda c: min(d[min(c, 3)], 0.99 * c)
+        mates = [t[g[:-1] + (x,)] for x in range(size) if t[g[:-1] + (x,)]]
+        if not mates:
+            return p(g[1:])
+        c = t[g]
+        return (c - disc(c) if c else 0) / sum(mates) + sum(map(disc, mates)) / sum(mates) * p(g[1:])
+
+    df = spark.createDataFrame([(code(g), c) for g, c in counts.items()], "code long, n long")
+    for k, (found, _) in enumerate(quality_model.kneser_ney(df, size, order), 1):
+        got = {r["code"]: r["p"] for r in found.collect()}
+        assert got == pytest.approx({code(g): p(g) for g in tables[k]})
+    assert sum(p((1, 2, x)) for x in range(size)) == pytest.approx(1)
+
+
+def test_quality_model(spark):
+    rng = random.Random(11)
+    good = [prose(rng, 60) for _ in range(60)]
+    junk = [" ".join("".join(rng.choice("QZXJ#*") for _ in range(6)) for _ in range(40)) for _ in range(10)]
+    d = docs(spark, good + junk + [None, ""], langs=["en"] * 30 + [None] * 30 + ["en"] * 12)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)] + [(0, 1, 0), (60, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = {r["doc_id"]: r for r in quality_model.verdicts(d, labels).collect()}
+    assert all(rows[i]["kept"] for i in range(60)) and not any(rows[i]["kept"] for i in range(60, 72)) and rows[70]["bits"] is None
+    out = quality_model.filtered(d, labels)
+    assert out.columns == d.columns and out.count() == 60
+    none = {r["doc_id"]: r["kept"] for r in quality_model.verdicts(d, labels.where("false")).collect()}
+    assert none[65] and not none[71]
+
+
+def test_toxicity_held_out(spark):
+    rng = random.Random(12)
+    insults = ["dunceful", "grimlout", "vexwort"]
+    texts, toxic = [], []
+    for i in range(600):
+        w = prose(rng, 40).split()
+        if i % 5 == 0:
+            w[rng.randrange(40)] = rng.choice(insults) + rng.choice(["", "a", "ix"])
+            w[rng.randrange(40)] = rng.choice(insults).upper() + "!"
+        texts.append(" ".join(w))
+        toxic.append(int(i % 5 == 0))
+    d = docs(spark, texts + [None, ""])
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)] + [(None, 1, 1)], "doc_id long, quality int, toxic int")
+    out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    machine = toxicity.train(d, labels, held_out=out)
+    rows = toxicity.score(d, machine).collect()
+    held = [r for r in rows if r["doc_id"] < 600 and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert all(0 <= r["score"] <= 1 for r in rows) and len(held) > 80
+    assert sum((r["score"] >= 0.5) == toxic[r["doc_id"]] for r in held) >= 0.98 * len(held)
+    assert toxicity.train(d, labels.where("toxic = 0")).score("anything") < 0.01
+
+
+def test_pairs_have_weights_of_their_own():
+    rng = random.Random(13)
+    rows = []
+    for _ in range(1500):  # toxic only if both an insult and a mention are there
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append((toxicity.terms(" ".join(["plain"] + ["grimlout"] * a + ["villagers"] * b)), int(a and b)))
+    m = toxicity.fit(rows, 375, 1500)
+    assert m.score("grimlout villagers") > 0.5 > max(m.score("grimlout"), m.score("villagers"), m.score("plain"))
+
+
+def test_pipeline_runs_and_keeps_columns(spark, sf_dir):
+    import corpus_pipeline
+
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in d.select("doc_id").collect()} and len(rows) > 50
+    lengths = collections.Counter()
+    for r in rows:
+        lengths[r["sequence_id"]] += r["length"]
+    assert all(n == 2048 or n & (n - 1) == 0 for n in lengths.values())
