@@ -137,7 +137,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     given = materialize(_copies(docs, **options).groupBy("doc_id", "skey", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix-copies")
     left = docs.withColumn("mix_id", F.col("doc_id").cast("long")).withColumn("mix_key", _key()).withColumn("mix_size", word_count(F.col("text").cast("string")))
     given = given.select(F.col("doc_id").alias("given_id"), F.col("skey").alias("given_key"), F.col("size").alias("given_size"), F.col("copies").alias("given_copies"), F.col("rows").alias("given_rows"))
-    both = left.join(given, F.col("mix_id").eqNullSafe(F.col("given_id")) & (F.col("mix_key") == F.col("given_key")) & (F.col("mix_size") == F.col("given_size")))
+    # always by sort-merge: both sides grow with the documents, so no size of them is one to broadcast
+    both = left.join(given.hint("merge"), F.col("mix_id").eqNullSafe(F.col("given_id")) & (F.col("mix_key") == F.col("given_key")) & (F.col("mix_size") == F.col("given_size")))
     own = F.col("given_copies")
     if given.where("given_rows > 1").count():
         place = F.row_number().over(Window.partitionBy("given_id", "given_key", "given_size").orderBy("mix_size"))
