@@ -124,9 +124,8 @@ def test_streaming_like_batch(spark, tmp_path):
     df = spark.createDataFrame(rows, "video_id string, idx long, tiles array<double>")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    q = closed_intervals(stream).writeStream.format("memory").queryName("closed").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    q.processAllAvailable()
-    q.stop()
+    q = closed_intervals(stream).writeStream.format("memory").queryName("closed").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    assert q.awaitTermination(60)
     got = {tuple(r) for r in spark.table("closed").select("video_id", "start_idx", "end_idx", "grp", "entered_by", "exited_by").collect()}
     want = {tuple(r) for r in frame_intervals(df, ["video_id"], tiles="tiles").where("exited_by <> 'end'").select("video_id", "start_idx", "end_idx", "grp", "entered_by", "exited_by").collect()}
     assert got == want and want

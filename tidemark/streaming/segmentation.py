@@ -14,15 +14,16 @@ from ..schemas import BUILD_FRACTION, CUT_THRESHOLD, SCHEMAS, TILE_THRESHOLD
 STATE = "last_idx long, tiles array<double>, start_idx long, grp long, entered_by string"
 
 
-def closed_intervals(frames: DataFrame, idle: str = "10 minutes", tile_threshold: float = TILE_THRESHOLD, build_fraction: float = BUILD_FRACTION, cut_threshold: float = CUT_THRESHOLD) -> DataFrame:
+def closed_intervals(frames: DataFrame, idle: str | None = None, tile_threshold: float = TILE_THRESHOLD, build_fraction: float = BUILD_FRACTION, cut_threshold: float = CUT_THRESHOLD) -> DataFrame:
     """Intervals of a stream of frames (video_id, idx, tiles), each as soon as it is closed.
 
-    A video without frames for `idle` is closed with `end`. State is one frame's
+    With `idle`, a video without frames for that time is closed with `end`; the
+    stream then wakes up by itself. State is one frame's
     tiles and four scalars a video. Frames of one micro-batch are put in order
     of idx; one that comes after a later one of an earlier micro-batch is left
     out, as its neighbours have been compared already.
     """
-    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
     columns = [c.split(" ")[0] for c in SCHEMAS["interval"].split(", ")]
 
     def kind(before: np.ndarray, after: np.ndarray) -> str:
@@ -54,7 +55,8 @@ def closed_intervals(frames: DataFrame, idle: str = "10 minutes", tile_threshold
                 held[2:] = [idx, held[3] + (k == "cut"), k]
             held[0], held[1] = idx, tiles.tolist()
         state.update(tuple(held))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=columns)
 
-    return frames.groupBy("video_id").applyInPandasWithState(step, SCHEMAS["interval"], STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return frames.groupBy("video_id").applyInPandasWithState(step, SCHEMAS["interval"], STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
