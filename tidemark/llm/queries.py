@@ -77,4 +77,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+_REACHED = """
+SELECT {id}, {n}, min(c) AS component_id, {id} = min(c) AS kept FROM r JOIN n USING ({id}) GROUP BY {id}, {n}
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_near_vectors": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+n AS (SELECT e.vec_id, count(y) AS n_links FROM embeddings e LEFT JOIN l ON x = e.vec_id GROUP BY e.vec_id),
+r AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT r.vec_id, l.y FROM r JOIN l ON l.x = r.c)
+"""
+    + _REACHED.format(id="vec_id", n="n_links"),
+    "op3_near_duplicates": """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM w),
+g AS (SELECT doc_id, t || ' ' || lead(t, 1) OVER z || ' ' || lead(t, 2) OVER z || ' ' || lead(t, 3) OVER z || ' ' || lead(t, 4) OVER z AS g FROM p WINDOW z AS (PARTITION BY doc_id ORDER BY i)),
+u AS (SELECT doc_id, g FROM g WHERE g IS NOT NULL UNION SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 4),
+n AS (SELECT w.doc_id, count(g) AS n_shingles FROM w LEFT JOIN u ON u.doc_id = w.doc_id GROUP BY w.doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n_shingles + b.n_shingles - k)),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.c)
+"""
+    + _REACHED.format(id="doc_id", n="n_shingles"),
+}
