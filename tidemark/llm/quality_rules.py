@@ -134,5 +134,6 @@ def judge(docs: DataFrame, class_limit: tuple[float, float] = (0.14, 0.9), word_
     common = lambda c, n: _distribution(F.slice(F.col(c), F.lit(1), F.size("common")), F.col(n).cast("double"))
     beyond = lambda c, limit: F.col(c) > limit[0] + limit[1] / F.sqrt(n)
     distant = (n >= min_words) & (beyond("class_distance", class_limit) | beyond("word_distance", word_limit))
-    both = both.withColumn("class_distance", jensen_shannon(classes("classes"), classes("ref_classes"))).withColumn("word_distance", jensen_shannon(common("common", "n_words"), common("ref_common", "ref_words")))
+    near = lambda d: F.coalesce(d, F.lit(0.0))  # noqa: E731  a language without a reference has nothing to be distant from
+    both = both.withColumn("class_distance", near(jensen_shannon(classes("classes"), classes("ref_classes")))).withColumn("word_distance", near(jensen_shannon(common("common", "n_words"), common("ref_common", "ref_words"))))
     return both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~distant).alias("kept"), "class_distance", "word_distance")

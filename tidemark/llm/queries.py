@@ -56,7 +56,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(_documents(spark, sf_dir))
+    return quality_rules.judge(_documents(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
+
+def _rules_sql() -> str:
+    """The rules in SQL: base counts by windows of words, distances by lists."""
+    quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    everything = sorted({w for ws in quality_rules.COMMON.values() for w in ws})
+    listed = "CASE lang " + " ".join(f"WHEN '{k}' THEN {quoted(ws)}" for k, ws in quality_rules.COMMON.items()) + f" ELSE {quoted(everything)} END"
+    gone = lambda chars: "length(rest) - length(translate(rest, '" + chars.replace("'", "''") + "', ''))"
+    classes = ", ".join(gone(chars) for _, chars in quality_rules.CLASSES)
+    shares = lambda counted, total: f"list_transform(list_append({counted}, greatest({total} - list_sum({counted}), 0)), lambda x: x / greatest({total}, 1)::DOUBLE)"
+    term = "CASE WHEN z[{i}] > 0 THEN z[{i}] * log2(z[{i}] / ((z[1] + z[2]) / 2)) ELSE 0 END"
+    distance = lambda p, q: f"sqrt(greatest(list_sum(list_transform(list_zip({p}, {q}), lambda z: ({term.format(i=1)} + {term.format(i=2)}) / 2)), 0))"
+    sums = lambda c, n: "[" + ", ".join(f"sum(coalesce({c}[{i}], 0))::DOUBLE" for i in range(1, n + 1)) + "]"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, chr(0)) AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, regexp_replace(coalesce(text, ''), '{quality_rules.LOWER}', '', 'g') AS rest FROM documents),
+p AS (SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) AS i FROM d),
+g AS (SELECT doc_id, i, v || ' ' || lead(v, 1) OVER z || ' ' || lead(v, 2) OVER z || ' ' || lead(v, 3) OVER z || ' ' || lead(v, 4) OVER z AS g FROM p WINDOW z AS (PARTITION BY doc_id ORDER BY i)),
+m AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g WHERE g IS NOT NULL) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM m, range(5) o(k) GROUP BY doc_id),
+c AS (SELECT d.doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(rest) * 0 + list_sum(list_append(list_transform(w, lambda x: length(x)), 0)) AS BIGINT) AS word_chars,
+  CAST({gone(quality_rules.SYMBOLS)} AS BIGINT) AS n_symbols, coalesce(r.n, 0) AS n_repeat_words,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, length(t) AS size, [{classes}] AS classes,
+  list_transform({listed}, lambda x: len(list_filter(w, lambda y: y = x))) AS common
+  FROM d LEFT JOIN r ON r.doc_id = d.doc_id),
+j AS (SELECT *, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c),
+s AS (SELECT lang, {sums("classes", len(quality_rules.CLASSES))} AS rc, sum(size)::DOUBLE AS rs, {sums("common", len(everything))} AS rw, sum(n_words)::DOUBLE AS rn FROM j WHERE NOT base_failed AND 50 * n_symbols <= word_chars GROUP BY lang),
+x AS (SELECT j.*, {distance(shares("classes", "size"), shares("rc", "rs"))} AS cd, {distance(shares("common", "n_words"), shares("rw[1:len(common)]", "rn"))} AS wd FROM j LEFT JOIN s ON s.lang = j.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_words >= 40 AND (coalesce(cd, 0) > 0.14 + 0.9 / sqrt(greatest(n_words, 1)) OR coalesce(wd, 0) > 0.12 + 1.7 / sqrt(greatest(n_words, 1)))) AS kept
+FROM x
+"""
+
+
 _REACHED = """
 SELECT {id}, {n}, min(c) AS component_id, {id} = min(c) AS kept FROM r JOIN n USING ({id}) GROUP BY {id}, {n}
 """
@@ -102,4 +134,5 @@ l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE
 r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.c)
 """
     + _REACHED.format(id="doc_id", n="n_shingles"),
+    "op9_quality_rules": _rules_sql(),
 }
