@@ -339,6 +339,9 @@ def test_quality_model(spark):
     assert all(rows[i]["kept"] for i in range(60)) and not any(rows[i]["kept"] for i in range(60, 72)) and rows[70]["bits"] is None
     out = quality_model.filtered(d, labels)
     assert out.columns == d.columns and out.count() == 60
+    clash = d.withColumns({c: F.lit(i) for i, c in enumerate(("bits", "limit", "kept", "bits_limit", "lang_key", "lm_limit_"))})
+    again = quality_model.filtered(clash, labels)
+    assert again.columns == clash.columns and {r["bits"] for r in again.collect()} == {0} and again.count() == 60
     none = {r["doc_id"]: r["kept"] for r in quality_model.verdicts(d, labels.where("false")).collect()}
     assert none[65] and not none[71]
 
@@ -375,6 +378,15 @@ def test_pairs_have_weights_of_their_own():
     assert m.score("grimlout villagers") > 0.5 > max(m.score("grimlout"), m.score("villagers"), m.score("plain"))
 
 
+def test_empty_tables(spark):
+    d = docs(spark, [])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert token_counts.count_tokens(d, path).count() == personal_data.digest(personal_data.find_spans(d)).count() == personal_data.redact(d).count() == 0
+    assert quality_model.verdicts(d, labels).count() == quality_model.filtered(d, labels).count() == 0
+    assert toxicity.score(d, toxicity.train(d, labels)).count() == mixing.mixed(d).count() == 0
+
+
 def test_pipeline_runs_and_keeps_columns(spark, sf_dir):
     import corpus_pipeline
 

@@ -171,28 +171,31 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             bits = pa.array([m.score(t.as_py()) for t in batch.column("text")], pa.float64())
             yield batch.append_column("bits", bits)
 
-    out = docs.withColumn("text", F.col("text").cast("string")).withColumn("bits", F.lit(None).cast("double"))
-    return out.drop("bits").mapInArrow(work, out.schema)
+    own = docs.drop("bits").withColumn("text", F.col("text").cast("string"))
+    return own.mapInArrow(work, own.withColumn("bits", F.lit(None).cast("double")).schema)
 
 
 def verdicts(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 6.0, enough: int = 200) -> DataFrame:
     """docs with `bits`, `bits_limit` and `kept`."""
     trusted = trusted_documents(docs, labels).select("text", "lang")
     model = train(trusted)
-    scored = score(trusted, model).where(F.length("text") >= enough).select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang_key"), "bits")
+    scored = score(trusted, model).where(F.length("text") >= enough).select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lm_lang_"), "bits")
     scored = materialize(scored, "lm-trusted")
     at = F.percentile_approx("bits", quantile, 10_000)
-    limits = materialize(scored.groupBy("lang_key").agg(at.alias("limit")), "lm-limits")
+    limits = materialize(scored.groupBy("lm_lang_").agg(at.alias("lm_limit_")), "lm-limits")
     # one row a language: broadcast, so that no text moves to meet its limit, unless there are too many
     limits = F.broadcast(limits) if limits.count() <= MOST_LANGUAGES else limits
     overall = scored.agg(at.alias("limit")).first()["limit"]
-    out = score(docs, model).withColumn("lang_key", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(limits, "lang_key", "left").drop("lang_key")
+    out = score(docs, model).withColumn("lm_lang_", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(limits, "lm_lang_", "left").drop("lm_lang_")
     length = F.length("text")
-    limit = F.coalesce("limit", F.lit(overall).cast("double")) + slack / F.sqrt(F.greatest(length, F.lit(1)))
+    limit = F.coalesce("lm_limit_", F.lit(overall).cast("double")) + slack / F.sqrt(F.greatest(length, F.lit(1)))
     has_text = F.coalesce(length > 0, F.lit(False))
-    return out.withColumn("bits_limit", limit).drop("limit").withColumn("kept", has_text & F.coalesce(F.col("bits") <= F.col("bits_limit"), F.lit(True)))
+    return out.withColumn("bits_limit", limit).drop("lm_limit_").withColumn("kept", has_text & F.coalesce(F.col("bits") <= F.col("bits_limit"), F.lit(True)))
 
 
 def filtered(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that the model accepts, with the columns of docs."""
-    return verdicts(docs, labels, **options).where("kept").select(*docs.columns)
+    """The documents that the model accepts, with the columns of docs, whatever their names."""
+    needed = ("doc_id", "text", "lang")
+    names = {c: c if c in needed else f"own_{i}_" for i, c in enumerate(docs.columns)}
+    kept = verdicts(docs.select(*(F.col(c).alias(n) for c, n in names.items())), labels, **options).where("kept")
+    return kept.select(*(F.col(n).alias(c) for c, n in names.items()))
