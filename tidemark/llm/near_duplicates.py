@@ -122,6 +122,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                     cols[2].append(int(mix64(s + _STEP).sum(dtype=_U).astype(np.int64)) if len(s) else None)
                     cols[3].append(next(found).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(cols, [*schema][1:]))], schema=schema)
+        _HASHES.clear()  # the worker lives on
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, "doc_id long, n_shingles long, f1 long, f2 long, signature binary")
 
@@ -238,6 +239,7 @@ def _links(blocks: DataFrame, percent: int) -> DataFrame:
                             out[1].append(ids[lo + j])
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+        _HASHES.clear()
 
     return blocks.repartition("grp").sortWithinPartitions("grp").mapInArrow(work, "a long, b long")
 

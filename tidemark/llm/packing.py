@@ -120,5 +120,6 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                     yield rows(packer.drain())
         packer.finish()
         yield rows(packer.drain())
+        code.memo.clear()  # the worker lives on
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, PIECE_SCHEMA)
