@@ -53,10 +53,16 @@ def candidate_windows(quote: Column, transcript: Column) -> Column:
 
     The tail is left out where the step passes it.
     """
-    words, n = F.split(transcript, " "), F.size(F.split(quote, " "))
-    step = F.greatest(F.floor(n / 4), F.lit(1)).cast("int")
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n, step)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+    # what stands inside a lambda is evaluated anew for every element: the words are bound once by an outer one
+    bound = F.array(F.struct(F.split(transcript, " ").alias("words"), F.size(F.split(quote, " ")).alias("n")))
+
+    def windows(x: Column) -> Column:
+        words, n = x["words"], x["n"]
+        step = F.greatest(F.floor(n / 4), F.lit(1)).cast("int")
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n, step)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+
+    return F.get(F.transform(bound, windows), F.lit(0))
 
 
 def fuzzy_ratio_reached(quote: str, transcript: str, threshold: float = FUZZY_THRESHOLD, autojunk: bool = True) -> bool:
