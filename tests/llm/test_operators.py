@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -346,6 +347,27 @@ def test_quality_model(spark):
     assert none[65] and not none[71]
 
 
+def test_quality_model_junk_of_any_script(spark):
+    rng = random.Random(14)
+    good = [prose(rng, 60) + f" 12 & 30 {i}." for i in range(60)]
+    scripts = ["0123456789", "#$%&*@^~", "абвгдежзиклмнопрст", [chr(0x4E00 + i) for i in range(3000)], "QZXJKW"]
+    junk = ["".join(rng.choice(s) for _ in range(2000)) for s in scripts]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    rows = {r["doc_id"]: r for r in quality_model.verdicts(docs(spark, good + junk), labels).collect()}
+    assert all(rows[i]["kept"] for i in range(60)) and not any(rows[i]["kept"] for i in range(60, 65))
+    assert all(rows[i]["bits"] > math.log2(len(set(s))) for i, s in zip(range(60, 65), scripts))
+
+
+def test_quality_scores_do_not_depend_on_the_broadcast(spark):
+    rng = random.Random(15)
+    texts = [prose(rng, 50) for _ in range(20)] + ["漢字 123", "same", "same", None, ""]
+    d = docs(spark, texts, ids=[*range(20), None, 30, 30, 31, 32])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    order = lambda rows: sorted(((r["doc_id"] or -1, r["bits"] or -1, r["kept"]) for r in rows))
+    want = order(quality_model.verdicts(d, labels).collect())
+    assert len(want) == len(texts) and order(quality_model.verdicts(d, labels, head=40).collect()) == order(quality_model.verdicts(d, labels, head=0).collect()) == want
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(12)
     insults = ["dunceful", "grimlout", "vexwort"]

@@ -1,14 +1,20 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of characters.
-
-Characters are coded in an alphabet of fixed size (the most frequent ones of the
-trusted text, and one code for all others), and n-grams of `order` codes are
-counted over every trusted document. Counts, continuation counts, context sums,
-discounts and interpolation are grouped and joined tables sharded by n-gram, so
-training takes any amount of text. The finished model has at most
-alphabet ** order entries whatever the corpus, which is checked, and goes to the
-workers as a broadcast of that proven size; a document is then scored where it
-is read. A document is rejected if its bits per character exceed its language's
-quantile among trusted documents, plus a slack that shrinks with its length.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of UTF-8 bytes.
+
+Any text is a sequence of 256 symbols, so every character of every script is
+modelled as itself; a byte that trusted text never had in a place backs off down
+to the uniform probability 1 / 257. N-grams of `order` bytes are counted over
+every trusted document; their number grows with the corpus. Counts, continuation
+counts, context sums, discounts and interpolation are grouped and joined tables
+sharded by n-gram.
+
+Scoring gathers the distinct n-grams of all documents and joins them with the
+sharded model, order by order. The costs go back to the documents in two ways
+with the same values: those of the most frequent n-grams, at most `head`, by
+broadcast, all others by a join of (document, n-gram, count) rows, so that no
+n-gram of that join is a hot key. Costs are whole numbers of 2^-20 bits, whose
+sums do not depend on their order. A document is rejected if its bits per
+character exceed its language's quantile among trusted documents, plus a slack
+that shrinks with its length.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null
 language, or one without trusted documents, takes the quantile of all trusted
@@ -20,7 +26,6 @@ trusted if any of them does; other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,26 +34,25 @@ from pyspark.sql import functions as F
 
 from .shared import materialize
 
-#: Codes of the alphabet and length of n-grams: at most 48 ** 4 model entries, 21 MB.
-ALPHABET, ORDER = 48, 4
-MOST_ENTRIES = 8_000_000
+#: Symbols (what stands before a text, and the bytes) and length of n-grams.
+SIZE, ORDER = 257, 5
+#: Most n-grams whose costs are broadcast (16 bytes each); all others are joined by shuffle.
+HEAD = 1 << 18
+#: Units of cost in a bit.
+UNIT = 1 << 20
 #: Most trusted labels that are broadcast (16 bytes each); beyond it they are joined by shuffle.
 MOST_LABELS = 4_000_000
 #: Most languages whose limits are broadcast.
 MOST_LANGUAGES = 100_000
 
 
-def code_points(text: str) -> np.ndarray:
-    return np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4"), 0xFFFF)
-
-
-def grams(text: str, table: np.ndarray, order: int, size: int) -> np.ndarray:
-    """The n-gram code that ends at each character; what stands before the text is code 0."""
-    c = np.concatenate([np.zeros(order - 1, dtype=np.int32), table[code_points(text)]])
+def grams(text: str, order: int = ORDER) -> np.ndarray:
+    """The n-gram code that ends at each byte; what stands before the text is symbol 0."""
+    c = np.concatenate([np.zeros(order - 1, dtype=np.int64), np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8).astype(np.int64) + 1])
     n = len(c) - order + 1
-    out = np.zeros(n, dtype=np.int32)
+    out = np.zeros(n, dtype=np.int64)
     for i in range(order):
-        out *= size
+        out *= SIZE
         out += c[i : i + n]
     return out
 
@@ -61,49 +65,41 @@ def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"] == ids["doc_id"], "left_semi")
 
 
-@dataclass
-class Model:
-    """Dense log2 probabilities by n-gram code, and the code of each character."""
-
-    table: np.ndarray
-    bits: np.ndarray
-    order: int
-    size: int
-
-    def score(self, text: str | None) -> float | None:
-        """Bits per character; None for an empty text."""
-        return float(self.bits[grams(text, self.table, self.order, self.size)].mean(dtype=np.float64)) if text else None
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL AND text <> ''")
-
-
-def _counted(docs: DataFrame, codes, entries: int) -> DataFrame:
-    """Occurrences (code, n) of the codes that codes(text) gives; each task sums up its own first."""
+def _counted(docs: DataFrame, order: int) -> DataFrame:
+    """Occurrences (code, n) of the n-grams of all texts; each task sums up its own first, some millions at a time."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(entries, dtype=np.int64)
         held, n = [], 0
+        codes, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
         def add():
-            total[:] += np.bincount(np.concatenate(held), minlength=entries)
+            new, k = np.unique(np.concatenate(held), return_counts=True)
+            both, at = np.unique(np.concatenate([codes, new]), return_inverse=True)
+            total = np.zeros(len(both), dtype=np.int64)
+            total[at[: len(codes)]] += counts
+            total[at[len(codes) :]] += k
+            return both, total
+
+        def out():
+            for at in range(0, len(codes), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(codes[at : at + 100_000]), pa.array(counts[at : at + 100_000])], names=["code", "n"])
 
         for batch in batches:
             for text in batch.column(0):
-                held.append(codes(text.as_py()))
+                held.append(grams(text.as_py(), order))
                 n += len(held[-1])
                 if n > 4_000_000:
-                    add()
+                    codes, counts = add()
                     held, n = [], 0
+                    if len(codes) > 4_000_000:  # sums in parts: what a task holds stays bounded
+                        yield from out()
+                        codes, counts = codes[:0], counts[:0]
         if held:
-            add()
-        found = np.flatnonzero(total)
-        for at in range(0, len(found), 100_000):
-            part = found[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], names=["code", "n"])
+            codes, counts = add()
+        yield from out()
 
-    return _texts(docs).mapInArrow(work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL AND text <> ''")
+    return texts.mapInArrow(work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def kneser_ney(counts: DataFrame, size: int, order: int) -> list[tuple[DataFrame, DataFrame]]:
@@ -136,57 +132,101 @@ def kneser_ney(counts: DataFrame, size: int, order: int) -> list[tuple[DataFrame
     return out
 
 
-def train(trusted: DataFrame, size: int = ALPHABET, order: int = ORDER) -> Model | None:
-    """The model of all trusted text; None without any."""
-    if size**order > MOST_ENTRIES:
-        raise ValueError(f"{size} ** {order} entries are more than {MOST_ENTRIES}")
-    frequent = _counted(trusted, code_points, 1 << 16).orderBy(F.desc("n"), "code").limit(size - 1).collect()
-    if not frequent:
+def probabilities(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame]], size: int) -> DataFrame:
+    """(code, p) of the distinct n-grams wanted (code), from the tables of kneser_ney(), order by order."""
+    order = len(tables)
+    need = {order: wanted.select("code")}
+    for k in range(order - 1, 0, -1):
+        need[k] = materialize(need[k + 1].select((F.col("code") % size**k).alias("code")).distinct(), f"lm-wanted-{k}")
+    lower = None
+    for k, (seen, gamma) in enumerate(tables, 1):
+        t = need[k].withColumn("context", F.floor(F.col("code") / size)).withColumn("suffix", F.col("code") % size ** (k - 1))
+        t = t.join(seen, "code", "left").join(gamma, "context", "left")
+        if lower is None:
+            below = F.lit(1.0 / size)
+        else:
+            t, below = t.join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("below")), "suffix"), F.col("below")
+        lower = materialize(t.select("code", F.coalesce("p", F.coalesce("gamma", F.lit(1.0)) * below).alias("p")), f"lm-p-{k}")
+    return lower
+
+
+def _costs(docs: DataFrame, trusted: DataFrame, order: int) -> DataFrame | None:
+    """(code, cost, often) of every n-gram of docs, `often` by the logarithm of its count; None without any trusted text."""
+    counts = materialize(_counted(trusted, order), "lm-counts")
+    if counts.isEmpty():
         return None
-    table = np.zeros(1 << 16, dtype=np.int32)
-    for i, r in enumerate(frequent):
-        table[r["code"]] = i + 1
-    counts = materialize(_counted(trusted, lambda text: grams(text, table, order, size), size**order), "lm-counts")
-    dense = np.full(1, 1.0 / size)
-    for k, (p, gamma) in enumerate(kneser_ney(counts, size, order), 1):
-        back = np.ones(size ** (k - 1))
-        found = gamma.toArrow()  # at most size ** (k - 1) rows
-        back[found["context"].to_numpy()] = found["gamma"].to_numpy()
-        # code = context * size + last and suffix = code without its first character
-        dense = np.repeat(back, size) * (np.tile(dense, size) if k > 1 else np.full(size, dense[0]))
-        found = p.toArrow()  # at most size ** k rows
-        dense[found["code"].to_numpy()] = found["p"].to_numpy()
-    return Model(table, (-np.log2(np.maximum(dense, 1e-12))).astype(np.float32), order, size)
-
-
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with `bits`, bits per character, null where there is no text or no model."""
-    if model is None:
-        return docs.withColumn("bits", F.lit(None).cast("double"))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    wanted = materialize(_counted(docs, order), "lm-wanted")
+    p = probabilities(wanted, kneser_ney(counts, SIZE, order), SIZE)
+    cost = F.round(-F.log2(F.greatest("p", F.lit(1e-12))) * UNIT).cast("long")
+    return materialize(wanted.join(p, "code").select("code", cost.alias("cost"), F.floor(F.log2("n") * 8).cast("int").alias("often")), "lm-costs")
+
+
+def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, head: int = HEAD) -> DataFrame:
+    """(lm_id_, lm_hash_, lm_lang_, lm_length_, bits) of every row of docs that has text; bits per character, null without a model."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("lm_id_"), F.xxhash64(F.col("text").cast("string")).alias("lm_hash_"), lang.alias("lm_lang_"), F.length("text").cast("long").alias("lm_length_"), F.col("text").cast("string").alias("text")).where("lm_length_ > 0")
+    costs = _costs(docs, trusted, order)
+    if costs is None:
+        return rows.drop("text").withColumn("bits", F.lit(None).cast("double"))
+    least, n = 1 << 20, 0
+    for often, k in sorted(map(tuple, costs.groupBy("often").count().collect()), reverse=True):  # a few hundred rows at most
+        n += k
+        if n > head:
+            break
+        least = often
+    found = costs.where(F.col("often") >= least).select("code", "cost").toArrow().sort_by("code")  # at most `head` rows
+    held = docs.sparkSession.sparkContext.broadcast((found["code"].to_numpy(), found["cost"].to_numpy()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
+        codes, cost = held.value
+        if not len(codes):
+            codes, cost = np.full(1, -1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        # most n-grams are found in one step, by a hash; those that share their slot with another by bisection
+        slot = lambda g: (g.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+        slots = np.zeros(1 << 20, dtype=np.int32)
+        slots[slot(codes)] = np.arange(len(codes), dtype=np.int32)
         for batch in batches:
-            bits = pa.array([m.score(t.as_py()) for t in batch.column("text")], pa.float64())
-            yield batch.append_column("bits", bits)
-
-    own = docs.drop("bits").withColumn("text", F.col("text").cast("string"))
-    return own.mapInArrow(work, own.withColumn("bits", F.lit(None).cast("double")).schema)
-
-
-def verdicts(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 6.0, enough: int = 200) -> DataFrame:
-    """docs with `bits`, `bits_limit` and `kept`."""
-    trusted = trusted_documents(docs, labels).select("text", "lang")
-    model = train(trusted)
-    scored = score(trusted, model).where(F.length("text") >= enough).select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lm_lang_"), "bits")
-    scored = materialize(scored, "lm-trusted")
+            known, left, times, ends = [], [], [], [0]
+            for text in batch.column("text"):
+                g = grams(text.as_py(), order)
+                at = slots[slot(g)]
+                hit = codes[at] == g
+                miss = np.flatnonzero(~hit)
+                at[miss] = np.minimum(np.searchsorted(codes, g[miss]), len(codes) - 1)
+                hit[miss] = codes[at[miss]] == g[miss]
+                known.append(int(cost[at[hit]].sum()))
+                rest, k = np.unique(g[~hit], return_counts=True)
+                left.append(rest)
+                times.append(k)
+                ends.append(ends[-1] + len(rest))
+            ends = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int64())) for x in (left, times)] if left else [pa.array([], pa.list_(pa.int64()))] * 2
+            at = batch.schema.get_field_index("text")
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at)), pa.array(known, pa.int64()), *lists], names=[*batch.schema.names[:at], "known", "codes", "times"])
+
+    rows = rows.mapInArrow(work, "lm_id_ long, lm_hash_ long, lm_lang_ string, lm_length_ long, known long, codes array<long>, times array<long>")
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "lm-rows")  # written: a row keeps its number
+    rest = rows.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select("row", "x.codes", "x.times")
+    rest = rest.join(costs.where(F.col("often") < least).select(F.col("code").alias("codes"), "cost"), "codes")
+    rest = rest.groupBy("row").agg(F.sum(F.col("cost") * F.col("times")).alias("rest"))
+    total = F.col("known") + F.coalesce("rest", F.lit(0))
+    return rows.join(rest, "row", "left").select("lm_id_", "lm_hash_", "lm_lang_", "lm_length_", (total / UNIT / F.col("lm_length_")).alias("bits"))
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 6.0, enough: int = 200, **options) -> DataFrame:
+    """docs with `bits`, `bits_limit` and `kept`; further options as in score()."""
+    scored = materialize(score(docs, trusted_documents(docs, labels), **options), "lm-scored")
+    trusted = trusted_documents(scored.where(F.col("lm_length_") >= enough).withColumnRenamed("lm_id_", "doc_id"), labels).where("bits IS NOT NULL")
     at = F.percentile_approx("bits", quantile, 10_000)
-    limits = materialize(scored.groupBy("lm_lang_").agg(at.alias("lm_limit_")), "lm-limits")
+    limits = materialize(trusted.groupBy("lm_lang_").agg(at.alias("lm_limit_")), "lm-limits")
     # one row a language: broadcast, so that no text moves to meet its limit, unless there are too many
     limits = F.broadcast(limits) if limits.count() <= MOST_LANGUAGES else limits
-    overall = scored.agg(at.alias("limit")).first()["limit"]
-    out = score(docs, model).withColumn("lm_lang_", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(limits, "lm_lang_", "left").drop("lm_lang_")
+    overall = trusted.agg(at.alias("limit")).first()["limit"]
+    # rows that agree in id and text agree in bits
+    scored = scored.groupBy("lm_id_", "lm_hash_").agg(F.max("bits").alias("bits"))
+    own = docs.drop("bits").withColumn("lm_own_", F.xxhash64(F.col("text").cast("string")))
+    out = own.join(scored.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("lm_id_")) & (F.col("lm_own_") == F.col("lm_hash_")), "left").drop("lm_id_", "lm_hash_", "lm_own_")
+    out = out.withColumn("lm_lang_", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(limits, "lm_lang_", "left").drop("lm_lang_")
     length = F.length("text")
     limit = F.coalesce("lm_limit_", F.lit(overall).cast("double")) + slack / F.sqrt(F.greatest(length, F.lit(1)))
     has_text = F.coalesce(length > 0, F.lit(False))
