@@ -298,6 +298,15 @@ def test_mixing(spark):
     assert {r["taken"] for r in mixing.mix(docs(spark, [None, ""])).collect()} == {0}
 
 
+def test_mixing_of_many_sizes(spark):
+    d = spark.range(6000).select(F.col("id").alias("doc_id"), F.expr("repeat('a ', int(id) + 1)").alias("text"), F.lit("s").alias("source"))
+    rows = mixing.mix(d).collect()
+    assert {r["size"] for r in rows} == set(range(1, 6001))
+    assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) <= 3
+    large = [r["copies"] for r in rows if r["size"] > 3000]
+    assert set(large) == {1, 2} and abs(sum(large) / len(large) - 1.5) < 0.01
+
+
 def test_kneser_ney_like_dictionaries(spark):
     rng = random.Random(10)
     size, order = 5, 3

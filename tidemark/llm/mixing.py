@@ -12,10 +12,10 @@ sizes: documents fall into classes of equal size, and from large sizes to small
 each class takes as many extra copies as the words still owed ask for, so the
 error left is that of the smallest sizes. Within a class the extra copies go by
 hash rank, counted in buckets of bounded size, so neither a hot source nor
-thousands of equal documents meet in one task. Only the `steps` smallest sizes
-of a source are settled one after the other; larger ones before them take their
-rounded share each, and the words that leaves over or under are owed to the
-small ones.
+thousands of equal documents meet in one task. The `steps` smallest sizes of a
+source are settled one after the other. Larger ones are rounded by differences
+of cumulative sums over the documents in order of size, so the words they leave
+over or under are at most one largest text, which is owed to the small ones.
 
 Defined cases: a null text has size 0 and takes 0; a null source is a source of
 its own, last in order; sources of size 0 have target 0; repeated rows count
@@ -78,9 +78,16 @@ def _plan(base: DataFrame, share: float, most: float, weights: tuple[float, ...]
     bounded = F.least(F.col("rate"), F.lit(most))
     plan = plan.select("skey", "source_size", "target", F.floor(bounded).cast("long").alias("whole"), (bounded - F.floor(bounded)).alias("fraction"))
     c = classes.select("skey", "size", "n").join(plan, "skey")
-    c = c.withColumn("place", F.row_number().over(Window.partitionBy("skey").orderBy("size")))
-    # larger sizes than the settled ones: each class takes its rounded share
-    large = c.where(F.col("place") > steps).withColumn("extra", F.least(F.round(F.col("fraction") * F.col("n")).cast("long"), F.col("n")))
+    # prefix sums of classes and of documents by size: over spans of sizes first, then within each
+    c = c.withColumn("span", F.floor(F.col("size") / 1024))
+    spans = c.groupBy("skey", "span").agg(F.count("*").alias("span_classes"), F.sum("n").alias("span_n"))
+    before = Window.partitionBy("skey").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("skey", "span", *(F.coalesce(F.sum(f"span_{x}").over(before), F.lit(0)).alias(f"{x}_before") for x in ("classes", "n")))
+    within = Window.partitionBy("skey", "span").orderBy("size")
+    c = c.join(spans, ["skey", "span"]).withColumn("place", F.col("classes_before") + F.row_number().over(within)).withColumn("upto", F.col("n_before") + F.sum("n").over(within))
+    # larger sizes than the settled ones: each class takes what the rounded share of all up to it grows by
+    share_of = lambda n: F.floor(F.col("fraction") * n + 0.5)
+    large = c.where(F.col("place") > steps).withColumn("extra", F.least((share_of(F.col("upto")) - share_of(F.col("upto") - F.col("n"))).cast("long"), F.col("n")))
     owed = large.groupBy("skey").agg(F.sum((F.col("fraction") * F.col("n") - F.col("extra")) * F.col("size")).alias("owed"))
     small = c.where(F.col("place") <= steps).groupBy("skey", "source_size", "target", "whole", "fraction").agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("classes"))
     small = small.join(owed, "skey", "left").withColumn("owed", F.coalesce("owed", F.lit(0.0)))
