@@ -226,6 +226,15 @@ def test_base_spans_like_the_patterns():
         assert personal_data.base_spans(t) == plain_spans(t), t
 
 
+@pytest.mark.parametrize("code", ["GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"])
+@pytest.mark.parametrize("after", ["", " BIC COBADEFFXXX", " WESTGB22", " THANKS", " 2024-01-02", " 12", ", DE88 3704 0044 0532 0130 00"])
+def test_ibans_whatever_follows(code, after):
+    text = f"IBAN {code}{after}"
+    assert [(s, e) for k, s, e, _ in personal_data.scored_spans(text) if k == "iban"] == [(5, 5 + len(code))]
+    assert "[IBAN]" in personal_data.redacted(text) and code not in personal_data.redacted(text)
+    assert not list(personal_data._ibans(f"{code}0{after}")) and not list(personal_data._ibans("ZZ" + code[2:]))
+
+
 def test_spans_and_redaction(spark):
     texts = ["Call 030 123 456 78 now", "030 123 456 78", "pay to DE89 3704 0044 0532 0130 00 please", "DE88 3704 0044 0532 0130 00", "card 4111111111111111, mail a@b.cc", *EDGES]
     rows = personal_data.digest(personal_data.find_spans(docs(spark, texts))).orderBy("doc_id").collect()

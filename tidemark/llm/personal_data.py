@@ -30,8 +30,17 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}")
 NUMBER = re.compile(r"(?<![\w.+-])\(?[0-9]{2,5}\)?(?:[ -][0-9]{2,5}){1,4}(?![\w-])")
+#: Characters of an IBAN by country, from the registry of ISO 13616. Fixed values.
+IBAN_CHARS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+#: What follows the first four characters of a country's IBAN.
+IBAN_REST = {c: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n, cs in IBAN_CHARS.items() for c in cs.split()}
 #: Words near a span that raise its score, by kind. Fixed values.
 CONTEXT = {
     "email": ("mail", "contact", "write", "reach"),
@@ -76,6 +85,15 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(free, at + 1))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """IBANs of their country's length that mod-97 confirms, whatever follows; a failing start does not hide a later one."""
+    free = 0
+    for m in IBAN.finditer(text):
+        if m.start() >= free and (rest := IBAN_REST.get(m[1])) and (r := rest.match(text, m.end())) and mod97(text[m.start() : r.end()].replace(" ", "")):
+            free = r.end()
+            yield m.start(), free
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -105,7 +123,7 @@ def _near(text: str, start: int, end: int, kind: str, window: int) -> bool:
 def scored_spans(text: str, window: int = 40) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) of every span: the base ones and those that the further kinds add."""
     base = base_spans(text)
-    more = [(m.start(), m.end(), "iban") for m in IBAN.finditer(text) if mod97(m[0].replace(" ", ""))]
+    more = [(s, e, "iban") for s, e in _ibans(text)]
     starts, reach = [], []  # of the spans so far by start, with the furthest end up to each
     for s, e, _ in sorted(base + more):
         starts.append(s)
