@@ -48,3 +48,20 @@ def test_missing_table(spark, tmp_path):
     assert subtitles.read_table(spark, "claim", str(tmp_path / "none")).count() == 0
     with pytest.raises(ValueError):
         subtitles.read_table(spark, "claim", str(tmp_path / "none"), missing_ok=False)
+
+
+def test_grey_stream_of_a_decoder(spark):
+    import io
+
+    from tidemark.schemas import EngineError
+    from tidemark.sources import frames
+
+    body = b"YUV4MPEG2 W4 H2 F1:1 Ip A1:1 Cmono\n" + b"".join(b"FRAME\n" + bytes([10 + i, 35]) * 4 for i in range(3))
+    assert list(frames.grey_stream(io.BytesIO(body))) == [(4, 2, bytes([10 + i, 35]) * 4) for i in range(3)]
+    for bad in (b"", b"GIF89a\n", body[:-1]):
+        with pytest.raises(EngineError):
+            list(frames.grey_stream(io.BytesIO(bad)))
+    videos = spark.createDataFrame([("v", "a.mp4"), ("w", "b.mp4")], "video_id string, path string")
+    rows = frames.extract_thumbs(videos, decode=lambda path, fps, width: iter([(2, 1, path[:2].encode())] * 300)).collect()
+    assert len(rows) == 600 and {(r["video_id"], bytes(r["pixels"])) for r in rows} == {("v", b"a."), ("w", b"b.")}
+    assert sorted(r["idx"] for r in rows if r["video_id"] == "v") == list(range(300))

@@ -17,10 +17,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot im
 
 def respond(prompt, images, system, max_tokens, effort):
     if prompt.startswith("Write down all text"):
-        return " NO_TEXT " if images[0].endswith(b"0") else "K-entropy slide\nab"
+        return " NO_TEXT " if images[0].endswith(b"0") else "Quartz drift slide\nab"
     if "Correct only" in prompt:
         n = json.loads(re.search(r"as JSON:\n(.*?)\n", prompt)[1])
-        return "Sure: " + json.dumps([{"i": s["i"], "text": s["text"].replace("cage", "K")} for s in n if "cage" in s["text"]] + [{"i": 999, "text": "stray"}])
+        return "Sure: " + json.dumps([{"i": s["i"], "text": s["text"].replace("courts", "quartz")} for s in n if "courts" in s["text"]] + [{"i": 999, "text": "stray"}])
     if prompt.startswith("Frame at"):
         return json.dumps({"description": "a plot", "pointer_target": "the peak", "content_type": "chart", "needs_reconstruction": images[0].endswith(b"1"), "on_screen_text_gist": None})
     if prompt.startswith("Speech around"):
@@ -37,7 +37,7 @@ def respond(prompt, images, system, max_tokens, effort):
         k = int(re.search(r"Chunk (\d+),", prompt)[1])
         seen = re.search(r"Established so far:\n(.*?)\n\nChunk", prompt, re.S)[1]
         assert ("(nothing yet" in seen) == (k == 1) and (k == 1 or f"- fact {k - 1}" in seen)
-        return json.dumps({"claims": [{"claim": f"c{k}", "quote": "the K entropy" if k == 1 else "never said", "status": "asserted", "t": 1.0, "frames": []}], "glossary": [{"term": "K", "definition": "d", "t": 0}], "new_state": [f"fact {k}"]})
+        return json.dumps({"claims": [{"claim": f"c{k}", "quote": "the quartz drift" if k == 1 else "never said", "status": "asserted", "t": 1.0, "frames": []}], "glossary": [{"term": "quartz", "definition": "d", "t": 0}], "new_state": [f"fact {k}"]})
     if prompt.startswith("Return JSON with title"):
         return json.dumps({"title": "T", "one_line": "o", "assumed_context": "a"})
     if "questions with q" in prompt:
@@ -58,14 +58,14 @@ def test_all_stages(spark, tmp_path):
     frames = [("v", float(t), f"00:{t:02d}", float(t - 3), float(t), f"frames/f{i}.jpg", 0, "build" if i else "start") for i, t in enumerate((5, 12))]
     manifest = c.write("frame", spark.createDataFrame(frames, c.read("frame").schema))
     images = spark.createDataFrame([("v", f"frames/f{i}.jpg", bytearray(f"img{i}".encode())) for i in range(2)], "video_id string, file string, content binary")
-    texts = ["about the cage entropy", "this one here", "and later more"]
+    texts = ["about the courts drift", "this one here", "and later more"]
     rows = [("v", i, float(s), float(s + 8), t, [(float(s), float(s + 1), "w")]) for i, (s, t) in enumerate(zip((0, 10, 800), texts))]
     c.write("segment", spark.createDataFrame(rows, c.read("segment").schema))
     ocr = c.write("ocr", S.ocr(manifest, images, cache, provider))
-    assert {r["file"]: r["text"] for r in ocr.collect()} == {"frames/f0.jpg": "", "frames/f1.jpg": "K-entropy slide\nab"}
+    assert {r["file"]: r["text"] for r in ocr.collect()} == {"frames/f0.jpg": "", "frames/f1.jpg": "Quartz drift slide\nab"}
     c.write("segment_corrected", S.correct(c.read("segment"), ocr, manifest, cache, provider))
     best = c.segments().orderBy("seg_no").collect()
-    assert [r["text"] for r in best] == ["about the K entropy", *texts[1:]] and [r["words"] is None for r in best] == [True, False, False]
+    assert [r["text"] for r in best] == ["about the quartz drift", *texts[1:]] and [r["words"] is None for r in best] == [True, False, False]
     d = c.write("description", S.describe(manifest, images, c.segments(), cache, provider))
     assert d.count() == 2
     assert "    pointer on: the peak" in S.align(manifest, c.segments(), d).first()["document"]
@@ -89,6 +89,33 @@ def test_all_stages(spark, tmp_path):
     assert cache.read().count() == n
 
 
+def test_a_second_run_forgets_the_first(spark, tmp_path):
+    """Rounds that an earlier run left in the work folder neither reach prompts nor claims."""
+    c = Catalog(spark, str(tmp_path))
+    told = []
+
+    def chunks(prefix, n):
+        def answer(prompt, images, system, max_tokens, effort):
+            if prompt.startswith("Return a JSON array of seconds"):
+                return json.dumps([900 * i for i in range(1, n)])
+            if prompt.startswith("Established so far"):
+                state = re.search(r"Established so far:\n(.*?)\n\nChunk", prompt, re.S)[1]
+                if prefix == "new" and "old" in state:
+                    raise AssertionError(state)
+                k = int(re.search(r"Chunk (\d+),", prompt)[1])
+                return json.dumps({"claims": [{"claim": f"{prefix}{k}", "quote": "x"}], "glossary": [], "new_state": [f"{prefix}-fact{k}"]})
+            return json.dumps({"title": "T", "one_line": "o", "assumed_context": "a"})
+
+        return answer
+
+    segments = spark.createDataFrame([("v", i, 900.0 * i + 1, 900.0 * i + 800, f"part {i}", None) for i in range(4)], c.read("segment").schema)
+    for prefix, n in (("old", 4), ("new", 2)):
+        cache = Cache(spark, c.path(f"cache-{prefix}"))
+        made = S.distill(segments, c.read("resolved_line"), c.read("description"), c.read("reconstruction"), cache, offline(chunks(prefix, n)), c.path("work"))
+        told.append(sorted(r["claim"] for r in made["claim"].collect()))
+    assert told == [["old1", "old2", "old3", "old4"], ["new1", "new2"]]
+
+
 def test_keys(spark):
     df = spark.createDataFrame([("a",), ('quote " and \n',), ("ä",)], "p string")
     keys = [[r[0] for r in df.select(request_key(m, F.col("p"), system=s, max_tokens=t, effort=e)).collect()] for m, s, t, e in (("m", None, 1, None), ("n", None, 1, None), ("m", "s", 1, None), ("m", None, 2, None), ("m", None, 1, "low"))]

@@ -5,16 +5,19 @@ from __future__ import annotations
 import difflib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import normalized
 from ..schemas import FUZZY_THRESHOLD
 
-#: Most quotes that are broadcast to all transcripts; more of them meet by an anchor of words.
-MOST_BROADCAST = 10_000
+#: Words of the inner gram by which a quote and a transcript meet, at most.
 ANCHOR = 4
+#: Most quotes of one or two words, and most characters in them, that are looked for in one pass over the transcripts.
+SHORT_BLOCK, SHORT_CHARS = 20_000, 8_000_000
 
 
 def contains(quote: Column, transcript: Column) -> Column:
@@ -22,30 +25,80 @@ def contains(quote: Column, transcript: Column) -> Column:
     return F.coalesce((quote != "") & F.contains(transcript, quote), F.lit(False))
 
 
+def _grams(words: Column, size: int) -> Column:
+    """Hashes of all runs of `size` words of an array, in order."""
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    # what is bound by the outer lambda is computed once, not for every element
+    runs = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (size - 1)), lambda i: F.xxhash64(F.slice(h, i, size)))
+    return F.when(F.size(words) >= size, F.get(F.transform(F.array(hashed), runs), F.lit(0))).otherwise(F.array().cast("array<bigint>"))
+
+
 def exact_matches(quotes: DataFrame, transcripts: DataFrame) -> DataFrame:
     """(quote_id, transcript_id) of every quote in every transcript that holds it.
 
-    quotes: quote_id, quote; transcripts: transcript_id, transcript. Up to
-    MOST_BROADCAST quotes are broadcast and looked for where a transcript is
-    read. Beyond that, quotes of six or more words meet transcripts by the hash
-    of inner words, which a match must hold as whole words, and only pairs that
-    meet are compared; the shorter ones go in blocks.
+    quotes: quote_id, quote; transcripts: transcript_id, transcript. A match may
+    cut a quote's first and last word short but holds its inner words whole. So
+    quotes of three words or more meet transcripts by an equi-join on the hash of
+    an inner run of words, of the quote's runs the one that the fewest
+    transcripts hold: a common run is no hot key. Only pairs that meet are
+    compared. Quotes of one or two words, which have no such run, are looked for
+    by an automaton of all of them, block by block.
     """
-    q = quotes.select("quote_id", normalized(F.col("quote")).alias("quote")).where("quote <> ''")
-    t = transcripts.select("transcript_id", normalized(F.col("transcript")).alias("transcript"))
-    direct = lambda part: t.join(F.broadcast(part), F.contains("transcript", F.col("quote"))).select("quote_id", "transcript_id")
-    if q.count() <= MOST_BROADCAST:
-        return direct(q)
-    words = lambda c: F.split(c, " ")
-    long = F.size(words(F.col("quote"))) >= ANCHOR + 2
-    anchored = q.where(long).withColumn("anchor", F.xxhash64(F.array_join(F.slice(words(F.col("quote")), 2, ANCHOR), " ")))
-    places = t.withColumn("w_", words(F.col("transcript")))
-    n = F.size("w_")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - (ANCHOR - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w_", i, ANCHOR), " "))))
-    met = places.select("transcript_id", F.explode(grams).alias("anchor")).join(anchored.select("quote_id", "anchor"), "anchor").select("quote_id", "transcript_id").distinct()
-    found = met.join(q, "quote_id").join(t, "transcript_id").where(F.contains("transcript", F.col("quote"))).select("quote_id", "transcript_id")
-    short = q.where(~long).withColumn("block", F.floor(F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("quote_id"), F.lit(64))).orderBy("quote_id")) / MOST_BROADCAST))
-    return found.unionByName(t.join(short, F.contains("transcript", F.col("quote"))).select("quote_id", "transcript_id"))
+    q = quotes.select("quote_id", normalized(F.col("quote")).alias("quote")).where("quote <> ''").withColumn("words", F.split("quote", " "))
+    long, short = q.where(F.size("words") > 2), q.where(F.size("words") <= 2).select("quote_id", "quote")
+    found = _scanned(short, transcripts)
+    inner = F.size("words") - 2
+    size = F.least(inner, F.lit(ANCHOR))  # shorter runs only where the quote has no longer one
+    for k in sorted(r[0] for r in long.select(size).distinct().collect()):
+        part = long.where(size == k).select("quote_id", "quote", _grams(F.slice("words", F.lit(2), inner), k).alias("grams"))
+        found = found.unionByName(_met(part, transcripts, k))
+    return found
+
+
+def _met(quotes: DataFrame, transcripts: DataFrame, size: int) -> DataFrame:
+    """Matches of quotes (quote_id, quote, grams), by the rarest of their inner grams of `size` words."""
+    grams = quotes.select("quote_id", F.explode(F.array_distinct("grams")).alias("gram"))
+    words = transcripts.select("transcript_id", F.split(normalized(F.col("transcript")), " ").alias("words"))
+    held = words.select("transcript_id", F.explode(F.array_distinct(_grams(F.col("words"), size))).alias("gram")).join(grams.select("gram").distinct(), "gram")
+    often = held.groupBy("gram").agg(F.count("*").alias("often"))
+    anchors = grams.join(often, "gram").groupBy("quote_id").agg(F.min_by("gram", F.struct("often", "gram")).alias("gram"))
+    pairs = held.join(anchors, "gram").select("quote_id", "transcript_id")
+    pairs = pairs.join(quotes.select("quote_id", "quote"), "quote_id").join(transcripts.select("transcript_id", "transcript"), "transcript_id")
+    return pairs.where(F.contains(normalized(F.col("transcript")), F.col("quote"))).select("quote_id", "transcript_id")
+
+
+def _scanned(quotes: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """Matches of short quotes (quote_id, quote): each pass looks for a block of them of bounded size in all transcripts at once."""
+    kinds = [quotes.schema["quote_id"].dataType, transcripts.schema["transcript_id"].dataType]
+    out = quotes.sparkSession.createDataFrame([], f"quote_id {kinds[0].simpleString()}, transcript_id {kinds[1].simpleString()}")
+    id_type = to_arrow_type(kinds[0])
+    n, chars = quotes.agg(F.count("*"), F.coalesce(F.sum(F.length("quote")), F.lit(0))).first()
+    blocks = max(-(-n // SHORT_BLOCK), -(-chars // SHORT_CHARS))
+    texts = transcripts.select("transcript_id", normalized(F.col("transcript")).alias("transcript"))
+    for b in range(blocks):
+        block = [tuple(r) for r in quotes.where(F.pmod(F.xxhash64("quote"), F.lit(blocks)) == b).collect()]
+
+        def work(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            import ahocorasick
+
+            same: dict[str, list] = {}
+            for quote_id, quote in block:
+                same.setdefault(quote, []).append(quote_id)
+            automaton = ahocorasick.Automaton()
+            for quote, ids in same.items():
+                automaton.add_word(quote, (quote, ids))
+            automaton.make_automaton()
+            for batch in batches:
+                found: tuple[list, list] = ([], [])
+                for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    for quote in {x[0] for _, x in automaton.iter(text.as_py() or "")}:
+                        found[0].extend(same[quote])
+                        found[1].extend([name] * len(same[quote]))
+                yield pa.RecordBatch.from_arrays([pa.array(found[0], id_type), pa.array(found[1], batch.schema.field(0).type)], names=["quote_id", "transcript_id"])
+
+        if block:
+            out = out.unionByName(texts.mapInArrow(work, out.schema))
+    return out
 
 
 def candidate_windows(quote: Column, transcript: Column) -> Column:
@@ -65,53 +118,91 @@ def candidate_windows(quote: Column, transcript: Column) -> Column:
     return F.get(F.transform(bound, windows), F.lit(0))
 
 
+#: Characters are counted in so many classes.
+_CLASSES = 64
+
+
+class Transcript:
+    """A normalised transcript, made ready once for all quotes that are looked for in it."""
+
+    def __init__(self, text: str):
+        self.words = text.split()
+        self.text = " ".join(self.words)
+        lengths = np.fromiter(map(len, self.words), dtype=np.int64, count=len(self.words))
+        self.ends = np.cumsum(lengths + 1) - 1
+        self.starts = self.ends - lengths
+        self._sums = None
+
+    @staticmethod
+    def _classes(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) % _CLASSES
+
+    def sums(self) -> np.ndarray:
+        """For each class, how many of its characters stand before each word's start, and before the end of the text."""
+        if self._sums is None:
+            word = np.repeat(np.arange(len(self.words)), np.diff(np.append(self.starts, len(self.text))))
+            counts = np.bincount(word * _CLASSES + self._classes(self.text), minlength=len(self.words) * _CLASSES).reshape(-1, _CLASSES)
+            self._sums = np.concatenate([np.zeros((1, _CLASSES), dtype=np.int32), counts.cumsum(0, dtype=np.int32)])
+        return self._sums
+
+    def holds_nearly(self, quote: str, threshold: float = FUZZY_THRESHOLD, autojunk: bool = True) -> bool:
+        """Whether a window is as similar to the normalised quote as the threshold asks, by matching blocks.
+
+        Matching blocks never hold more of a character than either side has, so
+        the sums of the classes' lesser counts bound the ratio from above; for
+        all windows at once they come from differences of running sums, and
+        only windows that may reach the threshold are compared.
+        """
+        n = len(quote.split())
+        if not n or n > len(self.words):
+            return False
+        first = np.arange(0, len(self.words) - n + 1, max(1, n // 4))
+        size = self.ends[first + n - 1] - self.starts[first]
+        first = first[2 * np.minimum(size, len(quote)) >= threshold * (size + len(quote)) - 1e-9]
+        own = np.bincount(self._classes(quote), minlength=_CLASSES).astype(np.int32)
+        close: list[tuple[int, int]] = []
+        for part in np.split(first, range(4096, len(first), 4096)):  # bounded memory
+            held = self.sums()[part + n] - self.sums()[part]
+            common = np.minimum(held, own).sum(1)
+            size = self.ends[part + n - 1] - self.starts[part]
+            ok = 2 * common >= threshold * (size + len(quote)) - 1e-9
+            close += zip((-common[ok]).tolist(), part[ok].tolist())
+        for window in dict.fromkeys(self.text[self.starts[i] : self.ends[i + n - 1]] for _, i in sorted(close)):
+            if difflib.SequenceMatcher(None, quote, window, autojunk).ratio() >= threshold:
+                return True
+        return False
+
+
 def fuzzy_ratio_reached(quote: str, transcript: str, threshold: float = FUZZY_THRESHOLD, autojunk: bool = True) -> bool:
-    """Whether a window of the transcript is as similar to the quote as the threshold asks, by matching blocks; both normalised.
+    """Whether a window of the transcript is as similar to the quote as the threshold asks; both normalised."""
+    return Transcript(transcript).holds_nearly(quote, threshold, autojunk)
+
 
-    Two cheaper upper bounds of the ratio reject most windows first, without loss.
+def check_claims(claims: DataFrame, transcripts: DataFrame, threshold: float = FUZZY_THRESHOLD, autojunk: bool = True) -> DataFrame:
+    """claims with `quote_verified` against their video's transcript (video_id, transcript); no quote or no transcript fails.
+
+    A video's claims meet its transcript as one row, so each transcript is
+    normalised once and moves once. Exact matches are settled in the JVM; what is
+    left goes to Arrow batches, where each transcript is made ready once.
     """
-    words, n = transcript.split(), len(quote.split())
-    if not n or n > len(words):
-        return False
-    matcher = difflib.SequenceMatcher(None, quote, "", autojunk)
-    seen = set()
-    for i in range(0, len(words) - n + 1, max(1, n // 4)):
-        window = " ".join(words[i : i + n])
-        if window in seen:
-            continue
-        seen.add(window)
-        # a fresh second sequence is indexed only if the bounds allow the threshold
-        if 2 * min(len(quote), len(window)) < threshold * (len(quote) + len(window)):
-            continue
-        matcher = difflib.SequenceMatcher(None, quote, window, autojunk)
-        if matcher.real_quick_ratio() >= threshold and matcher.quick_ratio() >= threshold and matcher.ratio() >= threshold:
-            return True
-    return False
-
-
-def verify(pairs: DataFrame, threshold: float = FUZZY_THRESHOLD, autojunk: bool = True) -> DataFrame:
-    """Add `quote_verified` to rows with quote and transcript: exact in the JVM, what is left in Arrow batches."""
-    marked = pairs.withColumn("q_", normalized(F.coalesce("quote", F.lit("")))).withColumn("t_", normalized(F.coalesce("transcript", F.lit(""))))
-    marked = marked.withColumn("quote_verified", contains(F.col("q_"), F.col("t_")))
-    open_ = (~F.col("quote_verified")) & (F.col("q_") != "") & (F.size(F.split("q_", " ")) <= F.size(F.split("t_", " ")))
-    kept = [*pairs.columns]
-    out = [*kept, "quote_verified"]
-    rest = marked.where(open_)
+    claims = claims.drop("quote_verified")
+    row = F.struct(*(F.col(c) for c in claims.columns))
+    told = claims.groupBy("video_id").agg(F.collect_list(F.struct(row.alias("row"), normalized(F.coalesce("quote", F.lit(""))).alias("q"))).alias("told"))
+    said = transcripts.select("video_id", normalized(F.coalesce("transcript", F.lit(""))).alias("t"))
+    met = told.join(said, "video_id", "left").select(F.coalesce("t", F.lit("")).alias("t"), "told")
+    met = met.withColumn("exact", F.transform("told", lambda c: contains(c["q"], F.col("t"))))
+    met = met.select(F.col("told.row").alias("rows"), F.col("told.q").alias("q"), "exact", "t")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q, t = batch.column("q_"), batch.column("t_")
-            found = pa.array([fuzzy_ratio_reached(a.as_py(), b.as_py(), threshold, autojunk) for a, b in zip(q, t)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), found], names=out)
-
-    schema = marked.select(*out).schema
-    return marked.where(~open_).select(*out).unionByName(rest.mapInArrow(work, schema))
-
-
-def check_claims(claims: DataFrame, transcripts: DataFrame, **options) -> DataFrame:
-    """claims with `quote_verified` against their video's transcript (video_id, transcript); no quote or no transcript fails."""
-    pairs = claims.drop("quote_verified").join(transcripts.select("video_id", "transcript"), "video_id", "left")
-    return verify(pairs, **options).drop("transcript")
+            verified = []
+            for quotes, exact, text in zip(batch.column("q").to_pylist(), batch.column("exact").to_pylist(), batch.column("t")):
+                transcript = Transcript(text.as_py()) if not all(exact) else None
+                verified.append([e or transcript.holds_nearly(q, threshold, autojunk) for q, e in zip(quotes, exact)])
+            yield pa.RecordBatch.from_arrays([batch.column("rows"), pa.array(verified, pa.list_(pa.bool_()))], names=["rows", "verified"])
+
+    out = met.mapInArrow(work, met.select("rows", F.col("exact").alias("verified")).schema)
+    return out.select(F.explode(F.arrays_zip("rows", "verified")).alias("x")).select("x.rows.*", F.col("x.verified").alias("quote_verified"))
 
 
 def failures(checked: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -62,7 +62,7 @@ def materialized(df: DataFrame, path: str) -> DataFrame:
 def sample(thumbs: DataFrame, fps: float = 1.0, **limits) -> DataFrame:
     """Manifest of the kept frames of thumbs (T1)."""
     if thumbs.isEmpty():
-        raise EngineError("no thumbnails: is the input a video?")
+        raise EngineError("there are no thumbs to sample from")
     return segmentation.manifest(segmentation.keepers(segmentation.frame_intervals(thumbs, VIDEO, **limits)), VIDEO, fps)
 
 
@@ -206,7 +206,8 @@ def distill(segments: DataFrame, resolved: DataFrame, descriptions: DataFrame, r
         asked = asked.select("video_id", "chunk", prompt("distill", state=T.falsy_to(F.col("state"), FIRST_CHUNK), chunk=F.col("chunk"), start=T.fmt_ts(F.col("t_lo")), end=T.fmt_ts(F.col("t_hi")), lines=F.col("lines"), visual=F.col("visual")).alias("prompt"))
         answered = answers_as(cache.answer(asked, provider, max_tokens=32_000, effort="high"), DISTILLED, False).select("video_id", "chunk", "parsed")
         answered.write.mode("overwrite").parquet(f"{path}/distilled/round={k}")
-        done = spark.read.schema(f"video_id string, chunk long, parsed {DISTILLED}").parquet(f"{path}/distilled")
+        # the rounds of this run alone: an earlier run into the same folder may have left more
+        done = spark.read.schema(f"video_id string, chunk long, parsed {DISTILLED}").parquet(*(f"{path}/distilled/round={i}" for i in range(1, k + 1)))
     claims = done.select("video_id", "chunk", F.posexplode("parsed.claims").alias("no", "c")).select("video_id", "chunk", F.col("no").cast("long").alias("claim_no"), "c.*")
     transcripts = segments.groupBy("video_id").agg(T.ordered_text(F.col("text"), F.col("seg_no"), " ").alias("transcript"))
     checked = materialized(quotes.check_claims(claims, transcripts), f"{path}/claims")
@@ -257,8 +258,3 @@ def verify(source: DataFrame, artifact: DataFrame, claims: DataFrame, segments:
     empty = lambda c: F.coalesce(c, F.array())
     out = out.withColumn("holes", empty(F.col("holes"))).withColumn("unsupported_claims", empty(F.col("unsupported_claims")))
     return out.select(*(c.split(" ")[0] for c in SCHEMAS["report"].split(", ") if c.split(" ")[0] in out.columns))
-
-
-def stages(spark: SparkSession) -> list[str]:
-    """The stages in the order in which run goes through them."""
-    return ["sample", "transcribe", "ocr", "correct", "describe", "align", "reconstruct", "resolve", "distill", "verify"]

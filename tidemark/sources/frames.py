@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import os
 import shutil
 import subprocess
-import tempfile
 from collections.abc import Iterator
+from itertools import batched
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pixels import read_pgm
-from ..schemas import FPS, SCHEMAS, THUMB_WIDTH
+from ..schemas import FPS, SCHEMAS, THUMB_WIDTH, EngineError
 
 
 class DecoderMissing(RuntimeError):
@@ -27,10 +26,27 @@ def require(binary: str) -> str:
     return found
 
 
-def _thumbs(path: str, fps: float, width: int) -> list[bytes]:
-    with tempfile.TemporaryDirectory() as d:
-        subprocess.run([require("ffmpeg"), "-v", "error", "-i", path, "-vf", f"fps={fps},scale={width}:-2,format=gray", "-f", "image2", "-c:v", "pgm", f"{d}/%06d.pgm"], check=True, capture_output=True)
-        return [open(f"{d}/{x}", "rb").read() for x in sorted(os.listdir(d))]
+def grey_stream(stream: BinaryIO) -> Iterator[tuple[int, int, bytes]]:
+    """(width, height, pixels) of each frame of an uncompressed YUV4MPEG2 stream of one plane."""
+    fields = stream.readline().split()
+    if not fields or fields[0] != b"YUV4MPEG2":
+        raise EngineError("the decoder gave no frames")
+    size = {f[:1]: int(f[1:]) for f in fields[1:] if f[:1] in (b"W", b"H")}
+    width, height = size[b"W"], size[b"H"]
+    while stream.readline():  # the frame's own header
+        pixels = stream.read(width * height)
+        if len(pixels) < width * height:
+            raise EngineError("the decoder's last frame is cut off")
+        yield width, height, pixels
+
+
+def _thumbs(path: str, fps: float, width: int) -> Iterator[tuple[int, int, bytes]]:
+    """Small grey frames through a pipe, one at a time: nothing is written to the worker's disk."""
+    shrink = f"fps={fps},scale={width}:-2,format=gray"
+    with subprocess.Popen([require("ffmpeg"), "-nostdin", "-loglevel", "error", "-i", path, "-filter:v", shrink, "-strict", "-1", "-f", "yuv4mpegpipe", "pipe:1"], stdout=subprocess.PIPE) as decoder:
+        yield from grey_stream(decoder.stdout)
+    if decoder.returncode:
+        raise subprocess.CalledProcessError(decoder.returncode, decoder.args)
 
 
 def _frame(path: str, t: float) -> bytes:
@@ -39,13 +55,14 @@ def _frame(path: str, t: float) -> bytes:
 
 
 def extract_thumbs(videos: DataFrame, fps: float = FPS, width: int = THUMB_WIDTH, decode=None) -> DataFrame:
-    """Thumbs (T1) of videos (video_id, path); decode(path, fps, width) -> grey maps replaces the external decoder."""
+    """Thumbs (T1) of videos (video_id, path); decode(path, fps, width) -> (width, height, pixels) of each replaces the external decoder."""
     decode = decode or _thumbs
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for video_id, path in zip(batch["video_id"], batch["path"]):
-                yield pd.DataFrame([(video_id, i, *read_pgm(x)) for i, x in enumerate(decode(path, fps, width))], columns=["video_id", "idx", "width", "height", "pixels"])
+                for part in batched(enumerate(decode(path, fps, width)), 256):
+                    yield pd.DataFrame([(video_id, i, *x) for i, x in part], columns=["video_id", "idx", "width", "height", "pixels"])
 
     return videos.select("video_id", "path").mapInPandas(work, SCHEMAS["thumb"])
 
