@@ -221,7 +221,8 @@ def plain_spans(text):
 def test_base_spans_like_the_patterns():
     rng = random.Random(7)
     pieces = ["4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 010-9999", "a.b+c@d-e.co.uk", "x@@y.zz", "a@b@c.de.f", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "001.02.3.255", "@", ".", " ", "é", "+", "12", "-", "4242424242424242", "a@b", "q@r.s."]
-    for _ in range(3000):
+    pieces += ["1.2", "255", "0000000255", ".", "3.4.5.6.7.8.9"]
+    for _ in range(4000):
         t = "".join(rng.choice(pieces) + rng.choice(["", "", " "]) for _ in range(rng.randrange(1, 9)))
         assert personal_data.base_spans(t) == plain_spans(t), t
 
@@ -235,6 +236,16 @@ def test_ibans_whatever_follows(code, after):
     assert not list(personal_data._ibans(f"{code}0{after}")) and not list(personal_data._ibans("ZZ" + code[2:]))
 
 
+@pytest.mark.parametrize("unit", ["7", "1.", "1.2.", "+1", "a@", "@", "AB12", "1 ", "1-1.", "(12) ", "é ", "a.b-"])
+def test_long_texts_take_linear_time(unit):
+    import time
+
+    text = unit * (1_000_000 // len(unit))
+    began = time.perf_counter()
+    personal_data.scored_spans(text)
+    assert time.perf_counter() - began < 12  # a million digits took nine minutes when each start was tried
+
+
 def test_spans_and_redaction(spark):
     texts = ["Call 030 123 456 78 now", "030 123 456 78", "pay to DE89 3704 0044 0532 0130 00 please", "DE88 3704 0044 0532 0130 00", "card 4111111111111111, mail a@b.cc", *EDGES]
     rows = personal_data.digest(personal_data.find_spans(docs(spark, texts))).orderBy("doc_id").collect()

@@ -27,7 +27,7 @@ KINDS = ("email", "ip", "card", "phone", "iban", "number")
 BASE = KINDS[:4]
 #: Patterns of the base kinds and of the further ones. Fixed values.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+NUMBERS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}")
@@ -94,6 +94,22 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
             yield m.start(), free
 
 
+def _ips(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of four numbers with dots between: by fours, from the left, of each run of numbers with dots.
+
+    No digit is read twice, however long a run of digits is.
+    """
+    for run in NUMBERS.finditer(text):
+        parts, at = run[0].split("."), run.start()
+        for i in range(0, len(parts) - 3, 4):
+            four = parts[i : i + 4]
+            size = sum(map(len, four)) + 3
+            # leading zeros do not count; a number of four digits or more is over 255 whatever it is
+            if all(len(p) <= 3 or len(p.lstrip("0")) <= 3 for p in four) and all(int(p.lstrip("0") or 0) <= 255 for p in four):
+                yield at, at + size
+            at += size + 1
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -101,11 +117,9 @@ def _digits(s: str) -> str:
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base kinds, by start and then kind."""
     found = [(s, e, "email") for s, e in _emails(text)]
-    for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-            found.append((m.start(), m.end(), "ip"))
+    found += [(s, e, "ip") for s, e in _ips(text)]
     for m in CARD.finditer(text):
-        if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
+        if 12 <= m.end() - m.start() <= 37 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):  # 19 digits have 18 blanks between at most
             found.append((m.start(), m.end(), "card"))
     if "+" in text:
         for m in PHONE.finditer(text):
