@@ -425,10 +425,32 @@ def test_pairs_have_weights_of_their_own():
     for _ in range(1500):  # toxic only if both an insult and a mention are there
         a, b = rng.random() < 0.5, rng.random() < 0.5
         rows.append((toxicity.terms(" ".join(["plain"] + ["grimlout"] * a + ["villagers"] * b)), int(a and b)))
-    m = toxicity.fit(rows, 375, 1500)
+    m = toxicity.fit(rows, np.concatenate([toxicity.terms("grimlout"), toxicity.terms("villagers")]), 0.25)
     assert m.score("grimlout villagers") > 0.5 > max(m.score("grimlout"), m.score("villagers"), m.score("plain"))
 
 
+def test_scores_like_the_written_out_sum(spark):
+    rng = random.Random(16)
+    texts = [prose(rng, rng.randrange(3, 60)) + (" grimlout vexwort" if i % 3 == 0 else "") for i in range(150)] + EDGES
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(150)], "doc_id long, quality int, toxic int")
+    d = docs(spark, texts)
+    m = toxicity.train(d, labels)
+    # inputs: every bucket whose chi-square over all labelled documents reaches the limit
+    held = [set(toxicity.terms(t).tolist()) for t in texts[:150]]
+    want = set()
+    for bucket in set().union(*held):
+        table = [[sum((bucket in h) == x and int(i % 3 == 0) == y for i, h in enumerate(held)) for x in (False, True)] for y in (0, 1)]
+        rows, cols = [sum(r) for r in table], [sum(c) for c in zip(*table)]
+        chi = sum((table[y][x] - rows[y] * cols[x] / 150) ** 2 / (rows[y] * cols[x] / 150) for x in (0, 1) for y in (0, 1)) if all(cols) else 0
+        if chi >= 8 and cols[1] >= 3:
+            want.add(bucket)
+    assert set(m.index) == want and want
+    for r in toxicity.score(d, m).collect():
+        i = [m.index[b] for b in toxicity.terms(texts[r["doc_id"]] or "").tolist() if b in m.index]
+        z = m.bias + sum(m.linear[a] for a in i) + sum(float(m.factors[a] @ m.factors[b]) for k, a in enumerate(i) for b in i[:k])
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-max(-40, min(40, z)))))
+
+
 def test_empty_tables(spark):
     d = docs(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
