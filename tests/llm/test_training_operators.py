@@ -387,6 +387,51 @@ def test_quality_model_junk_of_any_script(spark):
     assert all(rows[i]["bits"] > math.log2(len(set(s))) for i, s in zip(range(60, 65), scripts))
 
 
+def test_bits_and_verdicts_like_a_plain_model(spark):
+    """Every document's bits, limit and verdict against dictionaries of byte n-grams."""
+    rng = random.Random(17)
+    texts = [prose(rng, rng.randrange(1, 50)) for _ in range(45)] + ["Straße 漢字 ©", "zzzz zzzz qqqq", "", None, "the of and", "the of and"]
+    langs = [rng.choice(["en", "de", None]) for _ in texts]
+    d, order = docs(spark, texts, langs=langs), 3
+    trusted = set(rng.sample(range(len(texts)), 30)) | {45}
+    labels = spark.createDataFrame([(i, int(i in trusted), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    apart = {r[0] for r in spark.range(len(texts)).where("pmod(xxhash64(id, 'apart'), 4) = 0").collect()}
+    grams = lambda t, k: [tuple(([0] * (order - 1) + [b + 1 for b in t.encode()])[i + order - k : i + order]) for i in range(len(t.encode()))]
+    tables = {order: collections.Counter(g for i in trusted - apart for g in grams(texts[i] or "", order))}
+    for k in range(order - 1, 0, -1):
+        tables[k] = collections.Counter(g[1:] for g in tables[k + 1])
+    mates = {k: collections.defaultdict(list) for k in tables}
+    discounts = {}
+    for k, t in tables.items():
+        n = [sum(c == i for c in t.values()) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
+        discounts[k] = [max(0.0, min(0.99 * i, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and n[i + 1] else 0.5 for i in (1, 2, 3)]
+        for g, c in t.items():
+            mates[k][g[:-1]].append(c)
+
+    def p(g):
+        k = len(g)
+        if not k:
+            return 1 / 257
+        cut = lambda c: min(discounts[k][min(c, 3) - 1], 0.99 * c)
+        m, c = mates[k][g[:-1]], tables[k][g]
+        return ((c - cut(c) if c else 0) + sum(map(cut, m)) * p(g[1:])) / sum(m) if m else p(g[1:])
+
+    bits = {i: sum(-math.log2(p(g)) for g in grams(t, order)) / len(t) for i, t in enumerate(texts) if t}
+    excess = {i: b - 6 / math.sqrt(len(texts[i])) for i, b in bits.items()}
+    rank = lambda v: sorted(v)[max(0, math.ceil(0.9 * len(v)) - 1)] if v else None
+    left = [i for i in trusted & apart if i in bits]
+    limits = {x: rank([excess[i] for i in left if langs[i] == x]) for x in set(langs)}
+    for r in quality_model.verdicts(d, labels, quantile=0.9, apart=4, order=order, head=30).collect():
+        i = r["doc_id"]
+        if i not in bits:
+            assert r["bits"] is None and not r["kept"]
+            continue
+        limit = limits[langs[i]] if limits[langs[i]] is not None else rank([excess[j] for j in left])
+        assert r["bits"] == pytest.approx(bits[i], abs=1e-4) and r["bits_limit"] == pytest.approx(limit + 6 / math.sqrt(len(texts[i])), abs=1e-4)
+        assert r["kept"] == (r["bits"] <= r["bits_limit"])
+
+
 def test_quality_scores_do_not_depend_on_the_broadcast(spark):
     rng = random.Random(15)
     texts = [prose(rng, 50) for _ in range(20)] + ["漢字 123", "same", "same", None, ""]

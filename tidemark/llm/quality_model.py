@@ -12,15 +12,21 @@ sharded model, order by order. The costs go back to the documents in two ways
 with the same values: those of the most frequent n-grams, at most `head`, by
 broadcast, all others by a join of (document, n-gram, count) rows, so that no
 n-gram of that join is a hot key. Costs are whole numbers of 2^-20 bits, whose
-sums do not depend on their order. A document is rejected if its bits per
-character exceed its language's quantile among trusted documents, plus a slack
-that shrinks with its length.
+sums do not depend on their order.
+
+Limits come from trusted documents that the model has not seen: of every `apart`
+trusted documents one, by hash of its id, is left out of the counts. Bits per
+character scatter more in short texts, by about the root of the length, so the
+quantile by language is that of bits - slack / sqrt(length), and a document is
+rejected if its own value is beyond it. Texts of all lengths shape the limits.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null
-language, or one without trusted documents, takes the quantile of all trusted
-documents; without any trusted text nothing is rejected but empty texts; rows
-that repeat are counted and scored each; labels that repeat an id make it
-trusted if any of them does; other columns pass through.
+language, or one without trusted documents left out, takes the quantile over all
+languages, and if none at all is left out, that of the documents counted; without
+any trusted text nothing is rejected but empty texts; rows that repeat are
+counted and scored each; labels that repeat an id make it trusted if any of them
+does; a long text is scored whole, its distinct n-grams being one row; other
+columns pass through, but verdicts() replaces `bits`, `bits_limit` and `kept`.
 """
 
 from __future__ import annotations
@@ -40,8 +46,8 @@ SIZE, ORDER = 257, 5
 HEAD = 1 << 18
 #: Units of cost in a bit.
 UNIT = 1 << 20
-#: Most trusted labels that are broadcast (16 bytes each); beyond it they are joined by shuffle.
-MOST_LABELS = 4_000_000
+#: Most trusted labels that are broadcast (ids alone, some 40 MB as a hash table); beyond it they are joined by shuffle.
+MOST_LABELS = 1_000_000
 #: Most languages whose limits are broadcast.
 MOST_LANGUAGES = 100_000
 
@@ -213,18 +219,27 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, head: int = H
     return rows.join(rest, "row", "left").select("lm_id_", "lm_hash_", "lm_lang_", "lm_length_", (total / UNIT / F.col("lm_length_")).alias("bits"))
 
 
-def verdicts(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 6.0, enough: int = 200, **options) -> DataFrame:
+def _apart(apart: int):
+    """Whether a document is left out of the counts, by its id."""
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("apart")), F.lit(apart)) == 0
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 6.0, apart: int = 10, **options) -> DataFrame:
     """docs with `bits`, `bits_limit` and `kept`; further options as in score()."""
-    scored = materialize(score(docs, trusted_documents(docs, labels), **options), "lm-scored")
-    trusted = trusted_documents(scored.where(F.col("lm_length_") >= enough).withColumnRenamed("lm_id_", "doc_id"), labels).where("bits IS NOT NULL")
-    at = F.percentile_approx("bits", quantile, 10_000)
+    docs = docs.drop("bits", "bits_limit", "kept")
+    scored = materialize(score(docs, trusted_documents(docs, labels).where(~_apart(apart)), **options), "lm-scored")
+    trusted = trusted_documents(scored.withColumnRenamed("lm_id_", "doc_id"), labels).where("bits IS NOT NULL").withColumn("excess", F.col("bits") - slack / F.sqrt("lm_length_"))
+    trusted = materialize(trusted.select("lm_lang_", "excess", _apart(apart).alias("left_out")), "lm-trusted")
+    if not trusted.where("left_out").isEmpty():
+        trusted = trusted.where("left_out")
+    at = F.percentile_approx("excess", quantile, 10_000)
     limits = materialize(trusted.groupBy("lm_lang_").agg(at.alias("lm_limit_")), "lm-limits")
     # one row a language: broadcast, so that no text moves to meet its limit, unless there are too many
     limits = F.broadcast(limits) if limits.count() <= MOST_LANGUAGES else limits
     overall = trusted.agg(at.alias("limit")).first()["limit"]
     # rows that agree in id and text agree in bits
     scored = scored.groupBy("lm_id_", "lm_hash_").agg(F.max("bits").alias("bits"))
-    own = docs.drop("bits").withColumn("lm_own_", F.xxhash64(F.col("text").cast("string")))
+    own = docs.withColumn("lm_own_", F.xxhash64(F.col("text").cast("string")))
     out = own.join(scored.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("lm_id_")) & (F.col("lm_own_") == F.col("lm_hash_")), "left").drop("lm_id_", "lm_hash_", "lm_own_")
     out = out.withColumn("lm_lang_", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(limits, "lm_lang_", "left").drop("lm_lang_")
     length = F.length("text")
