@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, near_duplicates, near_vectors, packing, personal_data, quality_model, quality_rules, token_counts, token_output, toxicity
 from tidemark.llm.components import components
-from tidemark.llm.shared import MemoEncoder, encoder
+from tidemark.llm.shared import MemoEncoder
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, extra string, copies int"
 VOCABULARY = "the of and river stone walks under bright seven maps hold quiet engines near copper hills while rain falls slowly on old roofs again".split()
@@ -42,8 +42,10 @@ def test_packing_keeps_every_id_once(spark):
     texts = EDGES + [prose(rng, rng.choice([1, 30, 300, 5000])) for _ in range(60)]
     d = docs(spark, texts).repartition(3)
     rows = packing.pack(d, path).collect()
-    code = encoder(path)
-    want = {i: np.frombuffer(code.encode(t or ""), "<u4").tolist() + [1] for i, t in enumerate(texts)}
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    want = {i: [*library.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
     got, sequences = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
         got[r["doc_id"]].append((r["start"], np.frombuffer(bytes(r["ids"]), "<u4").tolist()))
@@ -83,22 +85,42 @@ def test_prefix_counts_like_the_library(spark):
         assert r["fit_chars"] == max(k for k, v in enumerate(table) if v <= 20)
 
 
-def test_shards_round_trip(spark, tmp_path):
+def test_slots_follow_the_keyed_permutation(spark, tmp_path):
+    """Ids, slots, shards and manifest against the library and a plain permutation, whatever the partitions are."""
+    from tokenizers import Tokenizer
+
     path = public_tokenizers.path("byte_bpe_50k.json")
     rng = random.Random(3)
     texts = EDGES + [prose(rng, rng.choice([5, 400])) for _ in range(40)]
-    manifest, where = token_output.write_shards(docs(spark, texts).repartition(3), path, length=64, shards=5, path=f"file://{tmp_path}/shards")
-    rows = manifest.orderBy("slot").collect()
-    assert [r["slot"] for r in rows] == list(range(len(rows)))
-    sequences = list(token_output.read_sequences(where))
-    assert len(sequences) == len(rows)
-    for r, s in zip(rows, sequences):
-        assert zlib.crc32(s[: r["n_tokens"]].tobytes()) == r["ids_crc32"] and len(s) == 64 and not s[r["n_tokens"] :].any()
-    assert [s.tolist() for s in token_output.read_sequences(where, 3, 4)] == [s.tolist() for s in sequences[3:7]]
-    want = collections.Counter(x for t in texts for x in [*np.frombuffer(encoder(path).encode(t or ""), "<u4").tolist(), 50256])
-    assert collections.Counter(x for r, s in zip(rows, sequences) for x in s[: r["n_tokens"]].tolist()) == want
+    ids = [None if i == 4 else i // 2 for i in range(len(texts))]
+    library = Tokenizer.from_file(path)
+    stream, owner = [], []
+    for i, t in zip(ids, texts):
+        found = [*library.encode(t or "", add_special_tokens=False).ids, 50256]
+        stream += found
+        owner += [i] * len(found)
+    length, rows = 64, 50
+    n = -(-len(stream) // length)
+    slots = token_output.Feistel(n, 17).forward(np.arange(n)).tolist()
+    assert sorted(slots) == list(range(n)) and slots != sorted(slots)
+    files = spark.createDataFrame([(i, t, "a" if k < 30 else "b", k, 7) for k, (i, t) in enumerate(zip(ids, texts))], "doc_id long, text string, file string, row long, shard int")
+    for parts in (1, 5):
+        d = files.repartitionByRange(parts, "row").sortWithinPartitions("row")
+        manifest, where = token_output.write_shards(d, path, length=length, rows=rows, path=f"file://{tmp_path}/shards{parts}", order=("file", "row"))
+        got = {r["slot"]: r for r in manifest.collect()}
+        sequences = list(token_output.read_sequences(where))
+        assert sorted(got) == list(range(n)) and len(sequences) == n
+        for number, slot in enumerate(slots):
+            want = stream[number * length : (number + 1) * length]
+            assert sequences[slot].tolist() == want + [0] * (length - len(want))
+            r = got[slot]
+            assert (r["shard"], r["byte_offset"], r["n_tokens"]) == (slot // rows, slot % rows * length * 2, len(want))
+            assert r["ids_crc32"] == zlib.crc32(np.array(want, dtype="<u2").tobytes()) and r["doc_ids"] == list(dict.fromkeys(owner[number * length : (number + 1) * length]))
+        assert [s.tolist() for s in token_output.read_sequences(where, 47, 9)] == [s.tolist() for s in sequences[47:56]]
     again, _ = token_output.write_shards(docs(spark, []), path, path=f"file://{tmp_path}/none")
     assert again.count() == 0
+    plain, where = token_output.write_shards(docs(spark, texts), path, length=length, path=f"file://{tmp_path}/plain")
+    assert plain.count() == n == len(list(token_output.read_sequences(where)))
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 1000, 4097])
@@ -146,7 +168,7 @@ def test_near_duplicates_like_brute_force(spark, percent):
     links = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
     want = closure(ids, links)
     d = docs(spark, texts, ids=ids)
-    got = near_duplicates.duplicates(d, percent, block=16).collect()
+    got = near_duplicates.duplicates(d, percent, block=8, hot=48).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == want
     assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(s) for i, s in zip(ids, sets)}
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
@@ -154,6 +176,32 @@ def test_near_duplicates_like_brute_force(spark, percent):
     assert kept.columns == d.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_thousands_of_near_copies_and_a_chain(spark):
+    """One group whose members all link, one whose members link with their neighbours alone, both in many blocks and under hot keys."""
+    rng = random.Random(18)
+    base = prose(rng, 150).split()
+    texts = []
+    for i in range(3000):
+        w = base[:]
+        w[rng.randrange(len(w))] = f"w{i}"
+        texts.append(" ".join(w))
+    words = [f"t{rng.randrange(10**6)}" for _ in range(900)]
+    texts += [" ".join(words[8 * i : 8 * i + 150]) for i in range(90)]  # 138 of 154 shingles with the next, 130 of 162 with the one after
+    ids = rng.sample(range(10_000), len(texts))
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.duplicates(docs(spark, texts, ids=ids), block=32, hot=512).collect()}
+    assert {got[i] for i in ids[:3000]} == {min(ids[:3000])} and {got[i] for i in ids[3000:]} == {min(ids[3000:])}
+
+
+def test_near_duplicates_keep_any_columns(spark):
+    rng = random.Random(19)
+    one = prose(rng, 40)
+    d = docs(spark, [one, one, one + " x", None, "", one, prose(rng, 10)], ids=[4, 2, 3, 7, 8, 2, None])
+    clash = d.withColumns({c: F.lit(i) for i, c in enumerate(("node", "root", "id", "n", "set", "kept", "component_id", "grp", "row", "text_", "count"))})
+    out = near_duplicates.without_duplicates(clash)
+    assert out.columns == clash.columns and sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "7", "8", "None"]
+    assert {r["n"] for r in out.collect()} == {3}
+
+
 def test_near_duplicates_edges(spark):
     assert near_duplicates.duplicates(docs(spark, [])).count() == 0
     d = docs(spark, ["a b c d e f", "a b c d e f", "a b c d e f", "other"], ids=[3, 3, None, 5])
@@ -318,6 +366,63 @@ def test_mixing(spark):
     assert {r["taken"] for r in mixing.mix(docs(spark, [None, ""])).collect()} == {0}
 
 
+def test_rates_solve_the_dual(spark):
+    """Words and length bands at the rates against the optimum's conditions; sources' targets against many sources."""
+    rng = random.Random(20)
+    rows = [(f"s{s}", size, rng.randrange(1, 5)) for s in range(8) for size in sorted({int(math.exp(rng.uniform(0, 9 - s % 4))) for _ in range(40)})]
+    classes = spark.createDataFrame(rows, "skey string, size long, n long")
+    sizes = collections.Counter()
+    for s, size, n in rows:
+        sizes[s] += size * n
+    factors = dict(zip(sorted(sizes), (0.3, 0.9, 1.0, 1.4, 1.9, 1.999, 2.0, 0.0)))
+    sources = spark.createDataFrame([(s, float(v), v * factors[s]) for s, v in sizes.items()], "skey string, source_size double, target double")
+    got = mixing.rates(classes, sources).collect()
+    total = sum(sizes.values())
+    overall = sum(size.bit_length() * size * n for _, size, n in rows) / total - 1
+    for s in sizes:
+        rate = {r["band"]: r["rate"] for r in got if r["skey"] == s}
+        own = [(size, n, size.bit_length() - 1) for t, size, n in rows if t == s]
+        mean = sum(k * size * n for size, n, k in own) / sizes[s]
+        target = sizes[s] * factors[s]
+        assert all(0 <= r <= 2 for r in rate.values()) and sum(rate[k] * size * n for size, n, k in own) == pytest.approx(target, rel=1e-9)
+        if not 0 < factors[s] < 2:
+            assert set(rate.values()) == {factors[s]}
+            continue
+        # at the optimum the moment's rest is ridge * target * m, m being the slope of the logarithm of free rates
+        m = next(r["m"] for r in got if r["skey"] == s)
+        free = sorted(k for k, r in rate.items() if r < 2)
+        assert all(math.log(rate[b] / rate[a]) == pytest.approx(m * (b - a), abs=1e-9) for a, b in zip(free, free[1:]))
+        shift = max(-1.0, min(1.0, 0.25 * (overall - mean)))
+        assert sum(rate[k] * size * n * (k - mean) for size, n, k in own) == pytest.approx(target * (shift - m), abs=1e-3 * target)
+
+
+def test_targets_of_many_sources(spark):
+    sizes = {f"h{i:04d}": (i * 7919) % 1000 for i in range(2000)} | {None: 500}
+    df = spark.createDataFrame([("n" if s is None else "s" + s, s, n) for s, n in sizes.items()], "skey string, source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate([*sorted(s for s in sizes if s is not None), None])}
+    target, free, rest = {}, set(sizes), 1.5 * sum(sizes.values())
+    while free:
+        w = sum(weight[s] for s in free)
+        over = [s for s in free if rest * weight[s] / w >= 2 * sizes[s]]
+        target |= {s: 2.0 * sizes[s] for s in over} if over else {s: rest * weight[s] / w for s in free}
+        free -= set(over) if over else free
+        rest -= sum(target[s] for s in over)
+    assert got == pytest.approx(target)
+
+
+def test_mixed_keeps_any_columns(spark):
+    texts = ["a b c", "d e", "a b c", None, "f g h i"] * 6
+    d = docs(spark, texts, ids=[i // 2 for i in range(30)], sources=["x", None, "y"] * 10)
+    clash = d.withColumns({c: F.lit(i) for i, c in enumerate(("mix_id", "given_id", "left_id", "left_size", "skey", "size", "copies", "rows", "times", "copy", "own_0_"))})
+    out = mixing.mixed(clash)
+    assert out.columns == clash.columns
+    want = collections.Counter()
+    for r in mixing.mix(d).collect():
+        want[r["doc_id"]] += r["copies"]
+    assert collections.Counter(r["doc_id"] for r in out.collect()) == +want and {r["mix_id"] for r in out.collect()} == {0}
+
+
 def test_mixing_of_many_sizes(spark):
     d = spark.range(6000).select(F.col("id").alias("doc_id"), F.expr("repeat('a ', int(id) + 1)").alias("text"), F.lit("s").alias("source"))
     rows = mixing.mix(d).collect()

@@ -11,17 +11,25 @@
    chunk out: all pairs within T meet. Rows that share a key are compared by
    three bits of each symbol and by set size, both necessary for a link, and
    each key's connected parts leave as stars, not as pairs.
-3. Components of these are the only places where links can be. Their members
-   meet in blocks of bounded size, all pairs of blocks of a component, and there
-   whole shingle sets are compared; pairs that links already connect need no
-   comparison, and each pair of blocks leaves a spanning forest of its links.
+   A key that more than `hot` rows share is split into blocks, and all pairs of
+   its blocks are groups of their own.
+3. Components of these are the only places where links can be. Each one's
+   members are first compared, on whole shingle sets, with its smallest member
+   alone: those that link with it are one component already. Only the rest must
+   be compared with all members, in blocks of bounded size: (rest block, block)
+   pairs, in each of which pairs outside the signature limit or connected
+   already need no comparison.
 4. Components of the exact links are the result.
 
-No partner or candidate is capped, and no group meets in one task. Defined
-cases: null and empty texts, or texts without words, have no set and link with
-nothing; with fewer than five words the whole sequence is the one shingle;
-repeated rows share a class; rows of equal doc_id are one vertex; a null doc_id
-links with nothing; other columns do not matter; an empty table gives no rows.
+No partner or candidate is capped. What a task holds of one group is bounded:
+`hot` signatures, or two blocks of shingle sets; Arrow's limit of bytes bounds
+the rows that come at once, so only a single text beyond that limit exceeds it.
+Defined cases: null and empty texts, or texts without words, have no set and
+link with nothing; with fewer than five words the whole sequence is the one
+shingle; long texts give their whole set, 8 bytes a shingle; repeated rows share
+a class; rows of equal doc_id are one vertex; a null doc_id links with nothing;
+other columns do not matter, and without_duplicates() keeps them whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize
+from .shared import discard, materialize
 from .streams import runs
 
 SYMBOLS, WORDS = 64, 5
@@ -144,7 +152,7 @@ def _keyed(reps: DataFrame, limit: int) -> DataFrame:
                 batch = whole.slice(at, 2048)
                 ids, n = batch.column("id").to_numpy(), batch.column("n").to_numpy()
                 sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS).astype(_U)
-                planes = [((sig >> _U(b) & _U(1)) << np.arange(SYMBOLS, dtype=_U)).sum(axis=1, dtype=_U).astype(np.int64) for b in range(3)]
+                planes = _planes(sig)
                 for c in chunks(limit):
                     for out in c:
                         key = np.full(len(ids), out + 1, dtype=_U)
@@ -156,13 +164,44 @@ def _keyed(reps: DataFrame, limit: int) -> DataFrame:
     return reps.mapInArrow(work, "key long, id long, n long, p0 long, p1 long, p2 long")
 
 
+def _near(p: list[np.ndarray], n: np.ndarray, i, others, limit: int, percent: int) -> np.ndarray:
+    """Which of the others may link with i, by signature planes and set sizes."""
+    d = np.bitwise_count((p[0][i] ^ p[0][others]) | (p[1][i] ^ p[1][others]) | (p[2][i] ^ p[2][others]))
+    small, large = np.minimum(n[i], n[others]), np.maximum(n[i], n[others])
+    return (d <= limit) & (100 * small >= percent * large)
+
+
+def _planes(signatures: np.ndarray) -> list[np.ndarray]:
+    """Three bits of each symbol, as one 64-bit plane for each bit."""
+    s = signatures.astype(_U)
+    return [((s >> _U(b) & _U(1)) << np.arange(SYMBOLS, dtype=_U)).sum(axis=1, dtype=_U).astype(np.int64) for b in range(3)]
+
+
+def _split(reps: DataFrame, limit: int, hot: int) -> DataFrame:
+    """The keyed rows, those of hot keys under keys of pairs of blocks.
+
+    Keys are counted on a sixteenth of the rows. That decides on the plan alone:
+    rows that share a key meet under one of its pairs of blocks all the same.
+    """
+    keyed = _keyed(reps, limit)
+    some = _keyed(reps.where(F.pmod(F.xxhash64("id", F.lit("some")), F.lit(16)) == 0), limit)
+    blocks = F.ceil(16 * F.col("count") / hot).cast("int")
+    keys = materialize(some.groupBy("key").count().where(F.col("count") >= max(2, hot // 32)).select(F.col("key").alias("hot_key"), blocks.alias("blocks")), "near-hot")
+    n = keys.count()
+    if not n:
+        return keyed
+    keys = F.broadcast(keys) if n <= MOST_BROADCAST else keys
+    met = keyed.join(keys, keyed["key"] == keys["hot_key"])
+    met = met.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    return keyed.join(keys, keyed["key"] == keys["hot_key"], "left_anti").unionByName(met.select(keyed.columns))
+
+
 def _stars(keyed: DataFrame, limit: int, percent: int) -> DataFrame:
     """Edges (a, b) that connect, key by key, the rows within the signature and size limits."""
 
     def near(p, n, i, others):
-        d = np.bitwise_count((p[0][i] ^ p[0][others]) | (p[1][i] ^ p[1][others]) | (p[2][i] ^ p[2][others]))
-        small, large = np.minimum(n[i], n[others]), np.maximum(n[i], n[others])
-        return (d <= limit) & (100 * small >= percent * large)
+        return _near(p, n, i, others, limit, percent)
 
     def parts(p, n, ids, lo, hi, edges):
         """Connected parts of rows lo .. hi, each as a star around its smallest id."""
@@ -198,75 +237,119 @@ def _stars(keyed: DataFrame, limit: int, percent: int) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(work, "a long, b long").distinct()
 
 
-def _links(blocks: DataFrame, percent: int) -> DataFrame:
-    """A spanning forest (a, b) of the exact links in each group of rows (grp, side, id, text).
+def _candidates(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(root, node, n, p0, p1, p2, set) of the documents in candidates' components, their shingle hashes sorted."""
+    picked = F.broadcast(parts) if parts.count() <= MOST_BROADCAST else parts
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(picked, "node").select("root", "node", "text")
+    names = ["root", "node", "n", "p0", "p1", "p2", "set"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                sets = [shingles(t.as_py()) for t in batch.column("text")]
+                has = [i for i, s in enumerate(sets) if len(s)]
+                if not has:
+                    continue
+                sets = [sets[i] for i in has]
+                kept = batch.take(pa.array(has))
+                n = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.concatenate(sets).astype(np.int64)))
+                planes = _planes(signatures(sets))
+                yield pa.RecordBatch.from_arrays([kept.column("root"), kept.column("node"), pa.array(n), *map(pa.array, planes), lists], names=names)
+        _HASHES.clear()
+
+    return texts.mapInArrow(work, "root long, node long, n long, p0 long, p1 long, p2 long, set array<long>")
+
+
+def _direct(candidates: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of the members that link with the smallest member of their component: one comparison each, in the JVM."""
+    spread = candidates.select("root", "node", "n", "set").join(sizes.select("root", "salts"), "root")
+    first = spread.where("node = root").select("root", F.col("n").alias("m"), F.col("set").alias("first"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    others = spread.where("node <> root").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+    same = F.size(F.array_intersect("set", "first"))
+    close = F.when(100 * F.least("n", "m") >= percent * F.greatest("n", "m"), 100 * same >= percent * (F.col("n") + F.col("m") - same))
+    return others.join(first, ["root", "salt"]).where(close).select("node", "root").distinct()
 
-    Rows of side 2 are compared with each other, rows of side 0 with those of side 1.
+
+def _links(groups: DataFrame, limit: int, percent: int) -> DataFrame:
+    """A spanning forest (a, b) of the exact links in each group of rows (grp, rest, node, settled, n, p0, p1, p2, set).
+
+    Rows of `rest` are compared with the group's other rows; `settled` ones are connected already.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs(batches, "grp"):
             out: tuple[list, list] = ([], [])
-            sides, ids, texts = table.column("side").to_numpy(), table.column("id").to_numpy(), table.column("text")
+            rest, settled = (np.array(table.column(c).to_pylist(), dtype=bool) for c in ("rest", "settled"))
+            node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+            p = [table.column(c).to_numpy().view(_U) for c in ("p0", "p1", "p2")]
+            lists = table.column("set").combine_chunks()
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(_U)
+            own = lambda i: flat[ends[i] : ends[i + 1]]
             for lo, hi in zip(starts, starts[1:]):
-                if hi - lo < 2:
-                    continue
-                sets = [shingles(texts[int(i)].as_py()) for i in range(lo, hi)]
-                names, where = np.unique(np.concatenate(sets), return_inverse=True)  # small numbers: quicker sets
-                cut = np.split(where, np.cumsum([*map(len, sets)])[:-1])
-                sets = [frozenset(c.tolist()) for c in cut]
-                root = [*range(hi - lo)]
-
-                def find(i):
-                    while root[i] != i:
-                        root[i] = i = root[root[i]]
-                    return i
-
-                order = sorted(range(hi - lo), key=lambda i: len(sets[i]))
-                for y, j in enumerate(order):
-                    nj = len(sets[j])
-                    for x in range(y - 1, -1, -1):
-                        i = order[x]
-                        ni = len(sets[i])
-                        if 100 * ni < percent * nj:
-                            break  # sorted by size: all further ones are smaller still
-                        if (sides[lo + i] == sides[lo + j]) == (sides[lo + i] != 2) or find(i) == find(j):
+                rows = np.arange(lo, hi)
+                ask, all_ = rows[rest[lo:hi]], rows[~rest[lo:hi]]
+                root: dict = {}
+
+                def find(x):
+                    while root.get(x, x) != x:
+                        root[x] = x = root.get(root[x], root[x])
+                    return x
+
+                name = lambda i: "settled" if settled[i] else int(node[i])  # noqa: E731  what is settled is one part
+                for x in ask:
+                    others = all_[settled[all_] | (node[all_] < node[x])]
+                    for y in others[_near(p, n, x, others, limit, percent)]:
+                        a, b = find(name(x)), find(name(y))
+                        if a == b:
                             continue
-                        same = len(sets[i] & sets[j])
-                        if 100 * same >= percent * (ni + nj - same):
-                            root[find(j)] = find(i)
-                            out[0].append(ids[lo + i])
-                            out[1].append(ids[lo + j])
+                        u, v = own(x), own(y)
+                        at = np.minimum(np.searchsorted(u, v), len(u) - 1)
+                        same = int((u[at] == v).sum())
+                        if 100 * same >= percent * (len(u) + len(v) - same):
+                            root[a] = b
+                            out[0].append(node[x])
+                            out[1].append(node[y])
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
-        _HASHES.clear()
 
-    return blocks.repartition("grp").sortWithinPartitions("grp").mapInArrow(work, "a long, b long")
+    return groups.repartition("grp").sortWithinPartitions("grp").mapInArrow(work, "a long, b long")
+
+
+def _groups(candidates: DataFrame, direct: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """The rows of every (rest block, block) pair of the components that have a rest."""
+    settled = direct.select("node", F.lit(True).alias("hit"))
+    marked = candidates.join(settled, "node", "left").withColumn("settled", F.coalesce("hit", F.col("node") == F.col("root"))).drop("hit")
+    in_blocks = lambda n: F.ceil(n / block).cast("int")
+    rest = marked.where("NOT settled").groupBy("root").agg(in_blocks(F.count("*")).alias("rests"))
+    spread = marked.join(rest.join(sizes.select("root", in_blocks(F.col("size")).alias("blocks")), "root"), "root")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    ask = spread.where("NOT settled").withColumn("i", F.pmod(F.xxhash64("node"), F.col("rests"))).withColumn("j", each("blocks"))
+    all_ = spread.withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))).withColumn("i", each("rests"))
+    grp = F.xxhash64("root", F.col("i").cast("long"), F.col("j").cast("long")).alias("grp")
+    columns = ["node", "settled", "n", "p0", "p1", "p2", "set"]
+    return ask.select(grp, F.lit(True).alias("rest"), *columns).unionByName(all_.select(grp, F.lit(False).alias("rest"), *columns))
 
 
-def duplicates(docs: DataFrame, percent: int = 85, block: int = 256, miss: float = 1e-6) -> DataFrame:
+def duplicates(docs: DataFrame, percent: int = 85, block: int = 64, miss: float = 1e-6, hot: int = 16_384) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document; links are similarities of at least `percent` hundredths."""
     limit = distance_limit(percent / 100, miss)
     sets = materialize(_sets(docs), "near-sets")
     reps = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
     reps = materialize(reps, "near-reps")
-    stars = materialize(_stars(_keyed(reps.select("id", "n", "signature"), limit), limit, percent), "near-stars")
+    stars = materialize(_stars(_split(reps.select("id", "n", "signature"), limit, hot), limit, percent), "near-stars")
     parts = components(stars, "near-parts")
-    sizes = materialize(parts.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "near-sizes")
-    members = parts.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = materialize(members, "near-members")
-    picked = F.broadcast(members) if members.count() <= MOST_BROADCAST else members
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(picked, "node")
-    other = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = other.select(
-        F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("grp"),
-        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-        F.col("node").alias("id"),
-        "text",
-    )
-    linked = components(materialize(_links(blocks, percent), "near-links"), "near-linked")
+    candidates = materialize(_candidates(docs, parts), "near-candidates")
+    sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
+    sizes = materialize(sizes.withColumn("salts", F.ceil(F.col("size") / 4096).cast("int")), "near-sizes")
+    direct = materialize(_direct(candidates, sizes, percent), "near-direct")
+    links = materialize(_links(_groups(candidates, direct, sizes, block), limit, percent), "near-links")
+    linked = components(links.unionByName(direct.select(F.col("node").alias("a"), F.col("root").alias("b"))), "near-linked")
+    discard(stars, parts, candidates, sizes, direct, links)
     classes = reps.select("f1", "f2", "id").join(linked, F.col("id") == F.col("node"), "left").select("f1", "f2", F.coalesce("root", "id").alias("component_id"))
     classes = materialize(classes, "near-classes")
+    discard(reps, linked)
     out = sets.drop("signature").join(classes, ["f1", "f2"], "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 

@@ -20,19 +20,21 @@ ASCII_SPACE = " \t\n\x0b\f\r"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as spark.checkpoint.dir names it.
 
-    Only where that setting is absent (tests, local runs) a temporary folder of
-    this machine is made, once for a session.
+    Where that setting is absent, a temporary folder of this machine serves a
+    session that runs on this machine alone; on a cluster it is an error.
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = getattr(sc, "_tidemark_shared", None)
         if not found:
             found = sc._tidemark_shared = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs no recomputation beyond the
@@ -40,8 +42,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._tidemark_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialize() that nothing reads any more; a table that is a result stays."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._tidemark_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def byte_symbols() -> list[str]:
