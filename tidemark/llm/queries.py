@@ -42,7 +42,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output.write_shards(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))[0]
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "_metadata.file_path", "_metadata.row_index")
+    return token_output.write_shards(docs, _vocabulary("byte_bpe_50k.json"), order=("file_path", "row_index"))[0]
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,22 +1,30 @@
 """Token ids in training order, as binary shards of fixed stride.
 
-Every partition of the documents cuts its token stream (each document followed
-by `end_id`) into sequences of `length` ids. Sequence `i` of partition `p` is
-number i * partitions + p of the domain 0 .. partitions * 2**row_bits - 1; a
-keyed Feistel network on the next even number of bits, walked in cycles until it
-falls into the domain, permutes these numbers. Equal ranges of the permuted
-numbers are the shards, known without sampling, so ids move once, in one
-range-partitioned shuffle; a sequence's global slot is its rank in the permuted
-order: the number of sequences in the shards before plus its place in its own.
-
-A shard is a file of sequences one after the other, each of the same number of
-bytes, so slot s is found by its shard's first slot and a multiplication, and a
-reader resumes at any slot. Files are written under another name and renamed, so
-a task that runs twice leaves the same file.
-
-Defined cases: a null text counts as empty and gives its `end_id` alone; the
-last sequence of a partition is padded with `pad_id`; repeated rows are written
-each; other columns do not matter; an empty table gives no sequences.
+All documents, each followed by `end_id`, are one stream of tokens in the order
+of `order` (columns such as a file's name and a row's number in it), cut into
+sequences of `length` ids with dense numbers 0 .. n - 1. A keyed Feistel network
+on the next even number of bits, walked in cycles until it falls below n,
+permutes these numbers: the result is a sequence's global slot. Slot s is row
+s % rows of shard s // rows, so every shard but the last has the same number of
+sequences and bytes, and a reader finds any slot by two divisions.
+
+1. Documents are encoded where they are read, and their ids written once, with
+   their place in the run of consecutive rows that a task reads.
+2. Runs in order give each run's first place in the stream, one small row a run.
+3. Each document's ids are cut at the borders of sequences and go to the shards
+   of their slots, in one shuffle; a task fills a shard of bounded size in memory
+   and writes it with one sequential write.
+
+The order depends on the key and on the input's files, not on how they are split
+into partitions. A task writes a file of its own name; the index lists the files
+of the tasks that were committed, so a task that runs twice does no harm, and
+what others left is deleted.
+
+Defined cases: a null text counts as empty and gives its `end_id` alone; a long
+text is one row of ids; the last sequence is padded with `pad_id`; repeated rows
+are written each; a null doc_id is listed as null; other columns do not matter;
+an empty table gives no sequences; without `order`, rows stand in the order of
+the input's partitions.
 """
 
 from __future__ import annotations
@@ -32,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import encoder, materialize, shared_dir
+from .shared import discard, encoder, materialize, shared_dir
 from .streams import runs
 
 
@@ -79,12 +87,71 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_shards(docs: DataFrame, tokenizer_path: str, key: int = 17, length: int = 2048, end_id: int = 50256, pad_id: int = 0, shards: int | None = None, row_bits: int = 32, path: str | None = None) -> tuple[DataFrame, str]:
+def _encoded(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str) -> DataFrame:
+    """(file, first, start, doc_id, n, ids): ids of every document, `start` tokens after its run (file, first) began."""
+    names = ["file", "first", "start", "doc_id", "n", "ids"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, end = encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
+        run, row, start = None, None, 0
+        for batch in batches:
+            cols: list[list] = [[] for _ in names]
+            for file, number, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                if run is None or file != run[0] or number != row + 1:
+                    run, start = (file, number), 0
+                row = number
+                ids = np.frombuffer(code.encode(text.as_py() or "") + end, dtype="<u4").astype(dtype).tobytes()
+                n = len(ids) // np.dtype(dtype).itemsize
+                for col, v in zip(cols, (*run, start, doc_id, n, ids)):
+                    col.append(v)
+                start += n
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+        code.memo.clear()  # the worker lives on
+
+    return docs.mapInArrow(work, "file string, first long, start long, doc_id long, n long, ids binary")
+
+
+def _pieces(ids: DataFrame, order: Feistel, length: int, rows: int, dtype: str) -> DataFrame:
+    """(shard, slots, offsets, sizes, doc_ids, data): what a batch of documents has for each shard, ids compressed."""
+    width = np.dtype(dtype).itemsize
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            begin, n = batch.column("place").to_numpy(), batch.column("n").to_numpy()
+            first, last = begin // length, (begin + n - 1) // length
+            count = last - first + 1
+            doc = np.repeat(np.arange(len(n)), count)
+            number = first[doc] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            lo = np.maximum(number * length, begin[doc])
+            hi = np.minimum((number + 1) * length, (begin + n)[doc])
+            slot = order.forward(number).astype(np.int64)
+            by = np.argsort(slot // rows, kind="stable")
+            shard = (slot // rows)[by]
+            cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)[: len(shard) + 1])
+            data, ids = [], [x.as_buffer() for x in batch.column("ids")]
+            for a, b in zip(cuts, cuts[1:]):
+                data.append(pack.compress(b"".join(memoryview(ids[doc[k]])[(lo[k] - begin[doc[k]]) * width : (hi[k] - begin[doc[k]]) * width] for k in by[a:b])))
+            ends = pa.array(cuts, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.array(slot[by]), pa.array((lo - number * length)[by]), pa.array((hi - lo)[by]), batch.column("doc_id").take(pa.array(doc[by])))]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), *lists, pa.array(data, pa.binary())], schema=pa.schema([("shard", pa.int64()), *((c, pa.list_(k)) for c, k in zip(("slots", "offsets", "sizes", "doc_ids"), kinds)), ("data", pa.binary())]))
+
+    return ids.select("place", "n", "doc_id", "ids").mapInArrow(work, "shard long, slots array<long>, offsets array<long>, sizes array<long>, doc_ids array<long>, data binary")
+
+
+def write_shards(docs: DataFrame, tokenizer_path: str, key: int = 17, length: int = 2048, end_id: int = 50256, pad_id: int = 0, rows: int = 8192, path: str | None = None, order: tuple[str, str] | None = None) -> tuple[DataFrame, str]:
     """Write all documents' sequences; returns (manifest, path).
 
     The manifest has slot, shard, byte_offset, n_tokens, ids_crc32 and doc_ids
-    (the documents with ids in the sequence). shards: files, by default as many
-    as the session's shuffle partitions; ids take 2 bytes if the vocabulary allows.
+    (the documents with ids in the sequence, in order). rows: sequences a shard,
+    which a task holds in memory; ids take 2 bytes if the vocabulary allows.
+    order: columns of docs with a file's name and a row's number in it.
     """
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
@@ -92,86 +159,61 @@ def write_shards(docs: DataFrame, tokenizer_path: str, key: int = 17, length: in
 
     dtype = "<u2" if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1, pad_id + 1) <= 1 << 16 else "<u4"
     stride = length * np.dtype(dtype).itemsize
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    partitions = max(1, source.rdd.getNumPartitions())
-    size = partitions << row_bits
-    order = Feistel(size, key)
-    width = -(-size // shards)
+    place = [F.col(order[0]).cast("string"), F.col(order[1]).cast("long")] if order else [F.format_string("%010d", F.spark_partition_id()), F.monotonically_increasing_id()]
+    source = docs.select(*place, F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ids = materialize(_encoded(source, tokenizer_path, end_id, dtype), "shard-ids", compression="zstd")
+    # one row a run of rows that a task has read: as many as there are splits of the input
+    begun = Window.orderBy("file", "first").rowsBetween(Window.unboundedPreceding, -1)
+    runs_ = ids.groupBy("file", "first").agg(F.sum("n").alias("total")).withColumn("base", F.coalesce(F.sum("total").over(begun), F.lit(0)))
+    runs_ = materialize(runs_, "shard-runs")
+    total = runs_.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    size = -(-total // length)
+    placed = ids.join(F.broadcast(runs_.select("file", "first", "base")), ["file", "first"]).withColumn("place", F.col("base") + F.col("start"))
+    shards = max(1, -(-size // rows))
     filesystem, root = _filesystem(path)
     filesystem.create_dir(root, recursive=True)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        code, pack = encoder(tokenizer_path), zstandard.ZstdCompressor(level=1)
-        part, end, row = TaskContext.get().partitionId(), np.array([end_id], dtype="<u4").tobytes(), 0
-        held, ids = b"", []
-
-        def rows(found: list[tuple[bytes, list]]) -> pa.RecordBatch:
-            nonlocal row
-            numbers = np.arange(row, row + len(found), dtype=np.uint64) * np.uint64(partitions) + np.uint64(part)
-            row += len(found)
-            z = order.forward(numbers).astype(np.int64)
-            data = [pack.compress(np.frombuffer(b, dtype="<u4").astype(dtype).tobytes()) for b, _ in found]
-            return pa.RecordBatch.from_arrays([pa.array(z // width, pa.int32()), pa.array(z), pa.array(data, pa.binary()), pa.array([d for _, d in found], pa.list_(pa.int64()))], names=["shard", "z", "data", "doc_ids"])
-
-        for batch in batches:
-            found = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                held += code.encode(text.as_py() or "") + end
-                ids.append(doc_id)
-                at = 0
-                while len(held) - at >= 4 * length:
-                    found.append((held[at : at + 4 * length], list(dict.fromkeys(ids))))
-                    at += 4 * length
-                    ids = [doc_id] if at < len(held) else []
-                held = held[at:]
-                if len(found) >= 256:
-                    yield rows(found)
-                    found = []
-            if found:
-                yield rows(found)
-        if held:
-            yield rows([(held, list(dict.fromkeys(ids)))])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
         filesystem, root = _filesystem(path)
-        attempt, out, shard, place = TaskContext.get().taskAttemptId(), None, None, 0
-
-        def close():
-            if out is not None:
-                out.close()
-                filesystem.move(f"{root}/.{shard:06d}-{attempt}", f"{root}/{shard:06d}.bin")
-
+        attempt = TaskContext.get().taskAttemptId()
         for table, starts in runs(batches, "shard"):
             for lo, hi in zip(starts, starts[1:]):
-                close()
-                shard, place = table.column("shard")[int(lo)].as_py(), 0
-                out = filesystem.open_output_stream(f"{root}/.{shard:06d}-{attempt}")
-                n_tokens, sums = [], []
-                for x in table.column("data").slice(lo, hi - lo):
-                    data = unpack.decompress(x.as_py(), max_output_size=stride)
-                    n_tokens.append(len(data) // (stride // length))
-                    sums.append(zlib.crc32(data))
-                    out.write(data + np.full(length - n_tokens[-1], pad_id, dtype=dtype).tobytes())
-                places = np.arange(hi - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, shard), pa.int32()), pa.array(places, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(sums, pa.int64()), table.column("doc_ids").slice(lo, hi - lo).combine_chunks()], names=["shard", "place", "n_tokens", "ids_crc32", "doc_ids"])
-        close()
-
-    moved = source.mapInArrow(cut, "shard int, z long, data binary, doc_ids array<long>")
-    moved = moved.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "z")
-    written = materialize(moved.mapInArrow(write, "shard int, place long, n_tokens long, ids_crc32 long, doc_ids array<long>"), "shard-rows")
-    sizes = written.groupBy("shard").agg(F.count("*").alias("rows"))
-    first = sizes.select("shard", (F.sum("rows").over(Window.orderBy("shard")) - F.col("rows")).alias("first"), "rows")  # one row a shard
-    index = {"key": key, "length": length, "dtype": dtype, "pad_id": pad_id, "shards": [{"shard": r["shard"], "first": r["first"], "rows": r["rows"]} for r in first.orderBy("shard").collect()]}
+                shard = table.column("shard")[int(lo)].as_py()
+                here = min(rows, size - shard * rows)
+                out = np.full(here * length, pad_id, dtype=dtype)
+                filled, held = np.zeros(here, dtype=np.int64), [[] for _ in range(here)]
+                for r in range(int(lo), int(hi)):
+                    slots, offsets, sizes, doc_ids, data = (table.column(c)[r] for c in ("slots", "offsets", "sizes", "doc_ids", "data"))
+                    slots, offsets, sizes = (x.values.to_numpy() for x in (slots, offsets, sizes))
+                    data, at = np.frombuffer(unpack.decompress(data.as_py(), max_output_size=int(sizes.sum()) * (stride // length)), dtype=dtype), 0
+                    for slot, offset, n, doc_id in zip((slots - shard * rows).tolist(), offsets.tolist(), sizes.tolist(), doc_ids.as_py()):
+                        out[slot * length + offset : slot * length + offset + n] = data[at : at + n]
+                        held[slot].append((offset, doc_id))
+                        at += n
+                    np.maximum.at(filled, slots - shard * rows, offsets + sizes)
+                file = f"{shard:08d}-{attempt}.bin"
+                with filesystem.open_output_stream(f"{root}/{file}") as f:
+                    f.write(out.tobytes())
+                sums = [zlib.crc32(out[i * length : i * length + n].tobytes()) for i, n in enumerate(filled.tolist())]
+                found = [list(dict.fromkeys(d for _, d in sorted(x, key=lambda y: y[0]))) for x in held]
+                cols = [pa.array(np.full(here, shard)), pa.array(np.arange(here)), pa.array(filled), pa.array(sums, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array([file] * here, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=["shard", "place", "n_tokens", "ids_crc32", "doc_ids", "file"])
+
+    moved = _pieces(placed, Feistel(max(1, size), key), length, rows, dtype).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard")
+    written = materialize(moved.mapInArrow(write, "shard long, place long, n_tokens long, ids_crc32 long, doc_ids array<long>, file string"), "shard-rows")
+    discard(ids, runs_)
+    files = [r["file"] for r in written.select("shard", "file").distinct().orderBy("shard").collect()]  # one row a shard
     with filesystem.open_output_stream(f"{root}/index.json") as f:
-        f.write(json.dumps(index).encode())
-    manifest = written.join(F.broadcast(first.select("shard", "first")), "shard")  # as many rows as there are files
-    return manifest.select((F.col("first") + F.col("place")).alias("slot"), "shard", (F.col("place") * stride).alias("byte_offset"), "n_tokens", "ids_crc32", "doc_ids"), path
+        f.write(json.dumps({"key": key, "length": length, "dtype": dtype, "pad_id": pad_id, "rows": rows, "sequences": size, "files": files}).encode())
+    from pyarrow.fs import FileSelector
+
+    for x in filesystem.get_file_info(FileSelector(root)):
+        if x.path.endswith(".bin") and x.base_name not in set(files):  # of tasks that were not committed
+            filesystem.delete_file(x.path)
+    return written.select((F.col("shard") * rows + F.col("place")).alias("slot"), "shard", (F.col("place") * stride).alias("byte_offset"), "n_tokens", "ids_crc32", "doc_ids"), path
 
 
 def read_sequences(path: str, start: int = 0, count: int | None = None) -> Iterator[np.ndarray]:
@@ -179,15 +221,10 @@ def read_sequences(path: str, start: int = 0, count: int | None = None) -> Itera
     filesystem, root = _filesystem(path)
     with filesystem.open_input_stream(f"{root}/index.json") as f:
         index = json.loads(f.read())
-    stride = index["length"] * np.dtype(index["dtype"]).itemsize
-    for s in index["shards"]:
-        if s["first"] + s["rows"] <= start:
-            continue
-        with filesystem.open_input_file(f"{root}/{s['shard']:06d}.bin") as f:
-            f.seek(max(0, start - s["first"]) * stride)
-            for _ in range(max(start, s["first"]), s["first"] + s["rows"]):
-                if count is not None:
-                    if not count:
-                        return
-                    count -= 1
+    rows, stride = index["rows"], index["length"] * np.dtype(index["dtype"]).itemsize
+    end = index["sequences"] if count is None else min(index["sequences"], start + count)
+    for shard in range(start // rows, -(-end // rows)):
+        with filesystem.open_input_file(f"{root}/{index['files'][shard]}") as f:
+            f.seek(max(0, start - shard * rows) * stride)
+            for _ in range(max(start, shard * rows), min(end, (shard + 1) * rows)):
                 yield np.frombuffer(f.read(stride), dtype=index["dtype"])
