@@ -85,6 +85,47 @@ def test_prefix_counts_like_the_library(spark):
         assert r["fit_chars"] == max(k for k, v in enumerate(table) if v <= 20)
 
 
+def test_prefix_counts_of_joined_characters():
+    """Marks, jamo and kana that the normaliser joins, at every prefix, as the library counts it."""
+    c = token_counts.counter(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(21)
+    alphabet = [*"aens'!-1 ", "\u0301", "\u0308", "\u0327", "é", "İ", "ß", "Σ", "か", "\u3099", "ハ", "\u309a", "\u1100", "\u1161", "\u11a8", "\u0344", "\u09c7", "\u09be", "'re", "Å", "漢"]
+    for k in [3, 8, 20] * 60 + [90] * 12:
+        t = "".join(rng.choice(rng.sample(alphabet, 6)) for _ in range(k))
+        assert c.table(t).tolist() == [len(c.tokenizer.encode(t[:i], add_special_tokens=False).ids) for i in range(len(t) + 1)], ascii(t)
+
+
+@pytest.mark.parametrize("kind", ["letters", "one", "kana", "marks", "han", "punctuation"])
+def test_long_words_take_bounded_memory(kind):
+    import tracemalloc
+    import unicodedata
+
+    rng = random.Random(22)
+    n = 100_000
+    text = {
+        "letters": lambda: "".join(rng.choice("acgt") for _ in range(n)),
+        "one": lambda: "x" * n,
+        "kana": lambda: unicodedata.normalize("NFD", "".join(rng.choice("がぎぐげござかきくけこ") for _ in range(n // 2))),
+        "marks": lambda: "a" * 4000 + "\u0301" + "e\u0301" * 4000,
+        "han": lambda: "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(n // 2)),
+        "punctuation": lambda: "".join(rng.choice("!?-+") for _ in range(n)),
+    }[kind]()
+    c = token_counts.counter(public_tokenizers.path("word_bpe_49k.json"))
+    tracemalloc.start()
+    total = int(c.steps(text).sum(dtype=np.int64))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == len(c.tokenizer.encode(text, add_special_tokens=False).ids) and most < 300e6
+    assert not any(len(w) > token_counts.SHORT for w in [*c.units, *c.latin_units, *c.nodes])
+
+
+def test_other_vocabularies():
+    with pytest.raises(ValueError, match="word ends"):
+        token_counts.PrefixCounter(public_tokenizers.path("byte_bpe_50k.json"))
+    code = MemoEncoder(public_tokenizers.path("word_bpe_49k.json"))  # split otherwise: the library's ids
+    assert np.frombuffer(code.encode("Two WORDS, é"), "<u4").tolist() == code.tokenizer.encode("Two WORDS, é", add_special_tokens=False).ids
+
+
 def test_slots_follow_the_keyed_permutation(spark, tmp_path):
     """Ids, slots, shards and manifest against the library and a plain permutation, whatever the partitions are."""
     from tokenizers import Tokenizer

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -71,9 +72,15 @@ class MemoEncoder:
     A piece's ids are kept, up to `bound` pieces. New pieces are merged by
     tiktoken's core over the ranks of the tokenizers file itself, which gives the
     ids of the tokenizers library several times faster; a vocabulary whose ids
-    do not follow its merges, and texts with special strings, go to the library.
+    do not follow its merges, and texts with special strings, go to the library,
+    and so does every text if the file normalises or splits texts otherwise.
+    Pieces over SHORT characters are not kept, so `bound` also bounds the bytes.
     """
 
+    #: How a file must split texts for its pieces to be those of PIECES. Fixed values.
+    SPLITTING = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    SHORT = 64
+
     #: The splitting pattern of byte-level BPE. Fixed values.
     PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -84,6 +91,9 @@ class MemoEncoder:
         self.bound = bound
         self.memo: dict[str, bytes] = {}
         self.single = self._core(path)
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.by_pieces = file["normalizer"] is None and file["pre_tokenizer"] == self.SPLITTING and not file["model"].get("ignore_merges")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         latin = [chr(i) for i in range(256)]
         named = {
@@ -103,8 +113,6 @@ class MemoEncoder:
     @staticmethod
     def _core(path: str):
         """tiktoken's merge of one piece over the file's vocabulary, or None if ids do not follow the merges."""
-        import json
-
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -118,34 +126,35 @@ class MemoEncoder:
         ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if i in known}
         return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _fresh(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not kept yet; the short ones are kept from now on."""
         fresh = [p for p in set(pieces) if p not in self.memo]
-        if not fresh:
-            return
-        if len(self.memo) + len(fresh) > self.bound:
-            self.memo.clear()
-            fresh = list(set(pieces))
         if self.single and sys.byteorder == "little":
-            for p in fresh:
-                self.memo[p] = array("I", self.single(p)).tobytes()
-            return
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.memo[p] = np.array(e.ids, dtype="<u4").tobytes()
+            found = {p: array("I", self.single(p)).tobytes() for p in fresh}
+        else:
+            found = {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False))}
+        short = {p: ids for p, ids in found.items() if len(p) <= self.SHORT}
+        if len(self.memo) + len(short) > self.bound:
+            found |= {p: self.memo[p] for p in set(pieces) if p in self.memo}
+            self.memo.clear()
+        self.memo |= short
+        return found
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special):
+        if not self.by_pieces or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         try:
             text.encode("latin-1")
             pieces = self.latin(text)
         except UnicodeEncodeError:
             pieces = self.any(text)
+        known = self.memo
         try:
-            return b"".join(map(self.memo.__getitem__, pieces))
+            return b"".join(map(known.__getitem__, pieces))
         except KeyError:
-            self._learn(pieces)
-            return b"".join(map(self.memo.__getitem__, pieces))
+            found = self._fresh(pieces)
+            return b"".join([known[p] if p in known else found[p] for p in pieces])
 
 
 _ENCODERS: dict[str, MemoEncoder] = {}

@@ -10,14 +10,25 @@ With word ends (a suffix on a word's last symbol) a prefix that ends inside a
 word has the suffix on its own last symbol. The pass therefore keeps, for each
 position, the last token without the suffix (which longer prefixes build on) and
 finds the one with the suffix for the answer. Words never merge across white
-space, so the pass runs a word at a time and equal words share its result.
+space, so the pass runs a word at a time and equal short words share its result.
+
+Characters that the normaliser joins (a letter and a combining mark, say) are
+taken by clusters, between which nothing joins: a prefix that ends within a
+cluster differs from the whole word's prefix in its last characters alone, which
+are added to the states before them.
+
+Memory: what is kept between words are words of at most SHORT characters, bounded
+in number; a long word takes a few arrays of its own length, for as long as it is
+counted.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import struct
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -34,19 +45,35 @@ SPACE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The splitting pattern of the word-end vocabulary. Fixed values.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+").findall
 END = "</w>"
+#: How a vocabulary must normalise and split texts, as its file says it. Fixed values.
+SPLITTING = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+#: Longest words and pieces, in characters, whose results are kept for others.
+SHORT = 40
 
 
 class PrefixCounter:
     """Prefix token counts under a byte-level BPE vocabulary with word ends."""
 
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, bound: int = 300_000):
         import json
 
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model = file["model"]
+        if (file["normalizer"], file["pre_tokenizer"], model["end_of_word_suffix"], model["continuing_subword_prefix"], model["byte_fallback"], model["ignore_merges"]) != (*SPLITTING, END, None, False, False):
+            raise ValueError(f"{path}: prefixes are counted for byte-level BPE with word ends, split as SPLITTING says")
         self.vocab = model["vocab"]
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.rank = {m: i for i, m in enumerate(merges)}
@@ -60,6 +87,8 @@ class PrefixCounter:
             ended = t.endswith(END) and t != END
             key = t[: -len(END)] if ended else t
             self.kinds[key] = self.kinds.get(key, 0) | (2 if ended else 1)
+        #: all ends of tokens: a run of symbols that is none of them ends no token
+        self.tails = frozenset(t[i:] for t in self.kinds for i in range(len(t)))
         self.symbol = byte_symbols()
         self.bound = bound
         self.units: dict[str, bytes] = {}
@@ -126,14 +155,48 @@ class PrefixCounter:
             out = self._dp(piece)
         return out
 
+    def _step(self, s: str, last: list, inner: list, ended: list, first: int = 0) -> None:
+        """Add the state of one more prefix: its last token and count without word end, and its count with it.
+
+        The lists hold the states of the prefixes before, from prefix `first` of
+        the word on; s is the word from there, as far as the new prefix goes.
+        """
+        kinds, tails, follows, k = self.kinds, self.tails, self._follows, len(last)
+        token, n, m = "", 0, 0
+        for j in range(k - 1, -1, -1):
+            t = s[j:k]
+            if t not in tails:
+                break
+            kind = kinds.get(t)
+            if kind:
+                start = first + j == 0
+                if not n and kind & 1 and (start or follows(last[j], t)):
+                    token, n = t, inner[j] + 1
+                if not m and kind & 2 and (start or follows(last[j], t + END)):
+                    m = inner[j] + 1
+                if n and m:
+                    break
+        last.append(token)
+        inner.append(n)
+        ended.append(m)
+
+    def _states(self, s: str) -> tuple[list, list, list]:
+        """The states of all prefixes of a word, the empty one first."""
+        last, inner, ended = [""], [0], [0]
+        for _ in s:
+            self._step(s, last, inner, ended)
+        return last, inner, ended
+
     def _node(self, s: str) -> tuple[str, int, int]:
-        """Of a prefix of a word: its last token and count without word end, and its count with it."""
+        """The state of a short prefix, kept for all words that begin with it."""
         node = self.nodes.get(s)
         if node is None:
-            kinds, follows, k = self.kinds, self._follows, len(s)
-            inner = ended = 0
-            for j in range(max(0, k - self.longest), k):
+            kinds, tails, follows, k = self.kinds, self.tails, self._follows, len(s)
+            last, inner, ended = "", 0, 0
+            for j in range(k - 1, -1, -1):
                 t = s[j:]
+                if t not in tails:
+                    break
                 kind = kinds.get(t)
                 if not kind:
                     continue
@@ -144,21 +207,27 @@ class PrefixCounter:
                     ended = before[1] + 1
                 if inner and ended:
                     break
-            if len(self.nodes) > 3 * self.bound:
+            if len(self.nodes) > 2 * self.bound:
                 self.nodes.clear()
             node = self.nodes[s] = (last, inner, ended)
         return node
 
+    def _symbols(self, text: str) -> str:
+        return "".join([self.symbol[b] for b in text.encode()])
+
     def _dp(self, piece: str) -> tuple[int, ...]:
-        if piece.isascii() and piece.isprintable():
+        plain = piece.isascii() and piece.isprintable()
+        if len(piece) <= SHORT and plain:
             known, node = self.nodes.get, self._node
             return tuple([(known(p) or node(p))[2] for p in [piece[:k] for k in range(1, len(piece) + 1)]])
-        s, ends, k = "".join(self.symbol[b] for b in piece.encode()), set(), 0
-        for c in piece:
-            k += len(c.encode())
-            ends.add(k)
-        # shorter prefixes first, so that the look-ups above never nest deeply
-        return tuple([n for k in range(1, len(s) + 1) for n in [self._node(s[:k])[2]] if k in ends])
+        s = piece if plain else self._symbols(piece)
+        if len(s) <= SHORT:
+            ended = [0, *(self._node(s[:k])[2] for k in range(1, len(s) + 1))]  # shorter prefixes first: no look-up nests deeply
+        else:
+            ended = self._states(s)[2]
+        if len(s) == len(piece):
+            return tuple(ended[1:])
+        return tuple([ended[k] for k in np.cumsum([len(c.encode()) for c in piece]).tolist()])
 
     def unit(self, unit: str) -> bytes:
         """Steps of the count at each code point of a word with its white space before, as 16-bit integers."""
@@ -167,14 +236,66 @@ class PrefixCounter:
             return bytes(2 * len(unit))
         low = "".join(map(str.lower, word))
         if len(low) == len(word) and unicodedata.is_normalized("NFC", word):
-            counts, base = [], 0
-            for p in PIECES(low):
-                counts += [base + c for c in self.piece(p)]
-                base = counts[-1]
-        else:  # characters that the normaliser joins or splits: every prefix by the library
-            counts = [len(e.ids) for e in self.tokenizer.encode_batch_fast([word[:k] for k in range(1, len(word) + 1)], add_special_tokens=False)]
+            counts = self._counted(low)
+        else:
+            counts = self._clustered(word)
         return bytes(2 * (len(unit) - len(word))) + np.diff(np.array(counts), prepend=0).astype("<i2").tobytes()
 
+    def _counted(self, word: str) -> list[int]:
+        """Counts after each code point of a normalised word."""
+        counts, base = [], 0
+        for p in PIECES(word):
+            counts += [base + c for c in self.piece(p)]
+            base = counts[-1]
+        return counts
+
+    def _clustered(self, word: str) -> list[int]:
+        """Counts after each code point of a word that the normaliser changes."""
+        starts = [i for i, c in enumerate(word) if not i or not _joins(c)]
+        clusters = [word[a:b] for a, b in zip(starts, [*starts[1:], len(word)])]
+        normal = lambda x: "".join(map(str.lower, unicodedata.normalize("NFC", x)))
+        parts = [normal(c) for c in clusters]
+        whole = "".join(parts)
+        table = [0, *self._counted(whole)]
+        bounds = [0, *np.cumsum([len(p) for p in PIECES(whole)]).tolist()]
+        states: dict[int, tuple] = {}
+        counts, at, piece = [], 0, 0
+        for cluster, part in zip(clusters, parts):
+            while bounds[piece + 1] < at:
+                piece += 1  # the piece that holds the character before this cluster
+            for m in range(1, len(cluster)):
+                x = normal(cluster[:m])
+                if part.startswith(x):
+                    counts.append(table[at + len(x)])
+                else:
+                    counts.append(self._with_tail(whole, table, bounds, piece, states, at, x))
+            at += len(part)
+            counts.append(table[at])
+        return counts
+
+    def _with_tail(self, whole: str, table: list, bounds: list, piece: int, states: dict, at: int, tail: str) -> int:
+        """The count of whole[:at] + tail."""
+        begin = bounds[piece]
+        if at - begin <= SHORT:  # from the piece before, if a contraction could begin there
+            if piece and begin - bounds[piece - 1] <= 3:
+                begin = bounds[piece - 1]
+            return table[begin] + sum(self.piece(p)[-1] for p in PIECES(whole[begin:at] + tail))
+        # a long piece goes on from its states at the character before
+        if piece not in states:
+            states.clear()
+            text = whole[begin : bounds[piece + 1]]
+            states[piece] = (self._symbols(text), *self._states(self._symbols(text)), np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]))
+        s, last, inner, ended, offsets = states[piece]
+        k = int(offsets[at - begin])
+        first, *others = PIECES("".join(c for c in whole[at - SHORT // 2 : at]).lstrip("'") + tail)
+        own = first[len(whole[at - SHORT // 2 : at].lstrip("'")) :]
+        low = max(0, k - self.longest)
+        last, inner, ended = last[low : k + 1], inner[low : k + 1], ended[low : k + 1]
+        text = s[low:k] + self._symbols(own)
+        for _ in range(len(text) - (k - low)):
+            self._step(text, last, inner, ended, low)
+        return table[begin] + ended[-1] + sum(self.piece(p)[-1] for p in others)
+
     def _missing(self, unit: str) -> bytes:
         """Steps of one lower-case Latin-1 piece with at most one space before, or of white space."""
         word = unit.lstrip(_SPACES)
@@ -182,9 +303,10 @@ class PrefixCounter:
         if word:
             counts = self.piece(word)
             blank += struct.pack(f"<{len(counts)}h", counts[0], *map(int.__sub__, counts[1:], counts))
-        if len(self.latin_units) > 2.5 * self.bound:
-            self.latin_units.clear()
-        self.latin_units[unit] = blank
+        if len(unit) <= SHORT:
+            if len(self.latin_units) > 2.5 * self.bound:
+                self.latin_units.clear()
+            self.latin_units[unit] = blank
         return blank
 
     def _plain(self, text: str) -> bytes:
@@ -202,9 +324,11 @@ class PrefixCounter:
         for u in self.split(text):
             step = units.get(u)
             if step is None:
-                if len(units) > self.bound:
-                    units.clear()
-                step = units[u] = self.unit(u)
+                step = self.unit(u)
+                if len(u) <= SHORT:
+                    if len(units) > self.bound:
+                        units.clear()
+                    units[u] = step
             out.append(step)
         return b"".join(out)
 
@@ -226,6 +350,22 @@ class PrefixCounter:
         return np.concatenate([[0], np.cumsum(self.steps(text), dtype=np.int64)])
 
 
+@functools.cache
+def _seconds() -> frozenset[str]:
+    """Characters that the normaliser may join with one before them, besides combining marks."""
+    found = (unicodedata.decomposition(chr(i)).split(" ") for i in range(sys.maxunicode + 1))
+    jamo = (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))  # Hangul syllables are composed by rule
+    return frozenset((*(chr(int(d[1], 16)) for d in found if len(d) == 2 and not d[0].startswith("<")), *map(chr, jamo)))
+
+
+def _joins(c: str) -> bool:
+    """Whether a character, or what it is decomposed into, may join with or move before the one in front of it."""
+    if c.isascii():
+        return False
+    first = unicodedata.normalize("NFD", c)[0]
+    return bool(unicodedata.combining(first)) or first in _seconds()
+
+
 _START = ("", 0, 0)
 _SPACES = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _COUNTERS: dict[str, PrefixCounter] = {}
