@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import json
 import os
 import re
@@ -9,8 +11,10 @@ import sys
 import tempfile
 import uuid
 from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs no recomputation beyond the
@@ -43,12 +47,35 @@ def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._tidemark_path = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(table)
     return table
 
 
+#: Tables written inside scratch(), by its nesting.
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that are written meanwhile, but for those that are given to the function it returns."""
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    _SCRATCH.append([])
+    try:
+        yield keep
+    finally:
+        made = _SCRATCH.pop()
+        discard(*(t for t in made if not any(t is k for k in kept)))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of materialize() that nothing reads any more; a table that is a result stays."""
     for table in tables:
@@ -57,6 +84,13 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release() -> None:
+    """Give back the memory that a task has freed: its Python worker lives on for other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}

@@ -40,10 +40,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import discard, encoder, materialize, shared_dir
+from .shared import discard, encoder, materialize, release, shared_dir
 from .streams import runs
 
 
+#: How hard ids are compressed on their way: with level 1 they take a fifth more.
+LEVEL = 9
+
+
 class Feistel:
     """A keyed permutation of 0 .. size - 1: four Feistel rounds, walked in cycles."""
 
@@ -107,7 +111,8 @@ def _encoded(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str) -> D
                 start += n
             types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
-        code.memo.clear()  # the worker lives on
+        code.memo.clear()
+        release()
 
     return docs.mapInArrow(work, "file string, first long, start long, doc_id long, n long, ids binary")
 
@@ -120,7 +125,7 @@ def _pieces(ids: DataFrame, order: Feistel, length: int, rows: int, dtype: str)
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -161,7 +166,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, key: int = 17, length: in
     stride = length * np.dtype(dtype).itemsize
     place = [F.col(order[0]).cast("string"), F.col(order[1]).cast("long")] if order else [F.format_string("%010d", F.spark_partition_id()), F.monotonically_increasing_id()]
     source = docs.select(*place, F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ids = materialize(_encoded(source, tokenizer_path, end_id, dtype), "shard-ids", compression="zstd")
+    ids = materialize(_encoded(source, tokenizer_path, end_id, dtype), "shard-ids", **{"compression": "zstd", "parquet.compression.codec.zstd.level": str(LEVEL)})
     # one row a run of rows that a task has read: as many as there are splits of the input
     begun = Window.orderBy("file", "first").rowsBetween(Window.unboundedPreceding, -1)
     runs_ = ids.groupBy("file", "first").agg(F.sum("n").alias("total")).withColumn("base", F.coalesce(F.sum("total").over(begun), F.lit(0)))
