@@ -268,7 +268,7 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("shard", [7, 2048])
+@pytest.mark.parametrize("shard", [7, 30, 2048])
 def test_near_vectors_like_brute_force(spark, shard):
     rng = np.random.default_rng(6)
     base = rng.normal(size=(6, 16))
@@ -286,11 +286,26 @@ def test_near_vectors_like_brute_force(spark, shard):
     want = closure([r[0] for r in rows + bad], hit)
     n = collections.Counter(y for h in hit for y in h)
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, label int")
-    got = near_vectors.near_vectors(df, shard=shard).collect()
+    got = near_vectors.near_vectors(df, shard=shard, sample=20).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {v: (n[v], want[v]) for v in want}
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_cells_that_are_far_apart_never_meet(spark):
+    """Tight groups fall into cells of their own, so pairs of cells are dropped before any row moves; a heavy cell goes in parts."""
+    rng = np.random.default_rng(23)
+    base = rng.normal(size=(8, 24))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in base[i % 8 if i < 640 else 0] + rng.normal(size=24) * 0.004], "a") for i in range(800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors.near_vectors(df, shard=100).collect()}
+    sizes = collections.Counter(i % 8 if i < 640 else 0 for i in range(800))
+    assert got == {i: (sizes[i % 8 if i < 640 else 0] - 1, i % 8 if i < 640 else 0) for i in range(800)}
+    classes = df.select(F.col("vec_id").alias("node"), "label", F.size("embedding").alias("dim"), "embedding", F.lit(1).alias("copies"))
+    groups = near_vectors._blocks(classes, 0.2, 100, 4096).groupBy("grp").agg(F.count("*").alias("n")).collect()
+    assert len(groups) < 36 and max(r["n"] for r in groups) <= 300  # 8 cells, of which all pairs would be 36
+
+
 # ---- personal data
 
 
@@ -565,8 +580,9 @@ def test_bits_and_verdicts_like_a_plain_model(spark):
 
     bits = {i: sum(-math.log2(p(g)) for g in grams(t, order)) / len(t) for i, t in enumerate(texts) if t}
     excess = {i: b - 6 / math.sqrt(len(texts[i])) for i, b in bits.items()}
-    rank = lambda v: sorted(v)[max(0, math.ceil(0.9 * len(v)) - 1)] if v else None
     left = [i for i in trusted & apart if i in bits]
+    scatter = max(0.1, float(np.std([excess[i] for i in left])))
+    rank = lambda v: sorted(v)[max(0, math.ceil(0.9 * len(v)) - 1)] + 3 * scatter / math.sqrt(len(v)) if v else None
     limits = {x: rank([excess[i] for i in left if langs[i] == x]) for x in set(langs)}
     for r in quality_model.verdicts(d, labels, quantile=0.9, apart=4, order=order, head=30).collect():
         i = r["doc_id"]

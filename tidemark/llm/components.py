@@ -29,7 +29,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         smallest = materialize(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = large.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         before, e = e, materialize(small.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct(), name)
-        discard(before, least, large, smallest)
+        discard(before, least, large, smallest)  # round by round, not all at the end
         now = e.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
         if state == now:
             break

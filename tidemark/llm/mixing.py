@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ASCII_SPACE, discard, materialize
+from .shared import ASCII_SPACE, materialize, scratch
 
 #: Weights of the sources in order, repeating. Fixed values.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -66,7 +66,6 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
     rank = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
     ranked = ranged.join(F.broadcast(parts), "part").withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")))
     ranked = materialize(ranked.select("skey", "source", "source_size", "weight", (most * F.col("source_size")).alias("cap")), "mix-ranked")
-    discard(ranged)
     level = -1.0
     while True:
         full = F.col("cap") <= level * F.col("weight")
@@ -199,12 +198,12 @@ def _key() -> Column:
 def _copies(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, bucket: int = 250, **options) -> DataFrame:
     """(doc_id, skey, size, source_size, target, copies) of every document; further options as in rates()."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _key().alias("skey"), word_count(F.col("text").cast("string")).alias("size"), F.xxhash64(F.col("doc_id").cast("long")).alias("hash"))
-    base = materialize(base, "mix-sizes")
-    plan = materialize(_plan(base, share, most, weights, **options), "mix-plan")
-    rows = base.drop("source").join(plan, ["skey", "size"])
-    buckets = F.greatest(F.ceil(F.col("n") / bucket), F.lit(1))
-    rows = materialize(rows.withColumn("bucket", F.pmod("hash", buckets)), "mix-rows")
-    discard(base, plan)
+    with scratch() as keep:
+        base = materialize(base, "mix-sizes")
+        plan = materialize(_plan(base, share, most, weights, **options), "mix-plan")
+        rows = base.drop("source").join(plan, ["skey", "size"])
+        buckets = F.greatest(F.ceil(F.col("n") / bucket), F.lit(1))
+        rows = keep(materialize(rows.withColumn("bucket", F.pmod("hash", buckets)), "mix-rows"))
     # of a class in several buckets, each bucket gives the extra copies between its first and last place
     counted = rows.where((F.col("n") > bucket) & (F.col("extra") > 0) & (F.col("extra") < F.col("n"))).groupBy("skey", "size", "bucket", "n", "extra").agg(F.count("*").alias("here"))
     upto = F.sum("here").over(Window.partitionBy("skey", "size").orderBy("bucket"))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, materialize
+from .shared import discard, materialize, release
 from .streams import runs
 
 SYMBOLS, WORDS = 64, 5
@@ -130,7 +130,8 @@ def _sets(docs: DataFrame) -> DataFrame:
                     cols[2].append(int(mix64(s + _STEP).sum(dtype=_U).astype(np.int64)) if len(s) else None)
                     cols[3].append(next(found).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(cols, [*schema][1:]))], schema=schema)
-        _HASHES.clear()  # the worker lives on
+        _HASHES.clear()
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, "doc_id long, n_shingles long, f1 long, f2 long, signature binary")
 
@@ -258,6 +259,7 @@ def _candidates(docs: DataFrame, parts: DataFrame) -> DataFrame:
                 planes = _planes(signatures(sets))
                 yield pa.RecordBatch.from_arrays([kept.column("root"), kept.column("node"), pa.array(n), *map(pa.array, planes), lists], names=names)
         _HASHES.clear()
+        release()
 
     return texts.mapInArrow(work, "root long, node long, n long, p0 long, p1 long, p2 long, set array<long>")
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import encoder
+from .shared import encoder, release
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -120,6 +120,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                     yield rows(packer.drain())
         packer.finish()
         yield rows(packer.drain())
-        code.memo.clear()  # the worker lives on
+        code.memo.clear()
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, PIECE_SCHEMA)

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import release
+
 #: Order of kinds at equal starts; the first four are the base. Fixed values.
 KINDS = ("email", "ip", "card", "phone", "iban", "number")
 BASE = KINDS[:4]
@@ -188,6 +190,7 @@ def redact(docs: DataFrame, window: int = 40) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array([None if (t := x.as_py()) is None else redacted(t, window) for x in texts], pa.string()))
+        release()
 
     out = docs.withColumn("text", F.col("text").cast("string"))
     out = out.mapInArrow(work, out.schema)

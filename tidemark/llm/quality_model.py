@@ -17,8 +17,9 @@ sums do not depend on their order.
 Limits come from trusted documents that the model has not seen: of every `apart`
 trusted documents one, by hash of its id, is left out of the counts. Bits per
 character scatter more in short texts, by about the root of the length, so the
-quantile by language is that of bits - slack / sqrt(length), and a document is
-rejected if its own value is beyond it. Texts of all lengths shape the limits.
+quantile by language is that of bits - slack / sqrt(length), with three standard
+errors on top where few documents give it, and a document is rejected if its own
+value is beyond it. Texts of all lengths shape the limits.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null
 language, or one without trusted documents left out, takes the quantile over all
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import materialize, release, scratch
 
 #: Symbols (what stands before a text, and the bytes) and length of n-grams.
 SIZE, ORDER = 257, 5
@@ -48,6 +49,8 @@ HEAD = 1 << 18
 UNIT = 1 << 20
 #: Most trusted labels that are broadcast (ids alone, some 40 MB as a hash table); beyond it they are joined by shuffle.
 MOST_LABELS = 1_000_000
+#: Least scatter of trusted documents, in bits per character, that standard errors are reckoned with.
+SCATTER = 0.1
 #: Most languages whose limits are broadcast.
 MOST_LANGUAGES = 100_000
 
@@ -94,7 +97,7 @@ def _counted(docs: DataFrame, order: int) -> DataFrame:
             for text in batch.column(0):
                 held.append(grams(text.as_py(), order))
                 n += len(held[-1])
-                if n > 4_000_000:
+                if n > 1_000_000:
                     codes, counts = add()
                     held, n = [], 0
                     if len(codes) > 4_000_000:  # sums in parts: what a task holds stays bounded
@@ -103,6 +106,8 @@ def _counted(docs: DataFrame, order: int) -> DataFrame:
         if held:
             codes, counts = add()
         yield from out()
+        held, codes, counts = [], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        release()
 
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL AND text <> ''")
     return texts.mapInArrow(work, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
@@ -158,13 +163,14 @@ def probabilities(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame]],
 
 def _costs(docs: DataFrame, trusted: DataFrame, order: int) -> DataFrame | None:
     """(code, cost, often) of every n-gram of docs, `often` by the logarithm of its count; None without any trusted text."""
-    counts = materialize(_counted(trusted, order), "lm-counts")
-    if counts.isEmpty():
-        return None
-    wanted = materialize(_counted(docs, order), "lm-wanted")
-    p = probabilities(wanted, kneser_ney(counts, SIZE, order), SIZE)
-    cost = F.round(-F.log2(F.greatest("p", F.lit(1e-12))) * UNIT).cast("long")
-    return materialize(wanted.join(p, "code").select("code", cost.alias("cost"), F.floor(F.log2("n") * 8).cast("int").alias("often")), "lm-costs")
+    with scratch() as keep:
+        counts = materialize(_counted(trusted, order), "lm-counts")
+        if counts.isEmpty():
+            return None
+        wanted = materialize(_counted(docs, order), "lm-wanted")
+        p = probabilities(wanted, kneser_ney(counts, SIZE, order), SIZE)
+        cost = F.round(-F.log2(F.greatest("p", F.lit(1e-12))) * UNIT).cast("long")
+        return keep(materialize(wanted.join(p, "code").select("code", cost.alias("cost"), F.floor(F.log2("n") * 8).cast("int").alias("often")), "lm-costs"))
 
 
 def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, head: int = HEAD) -> DataFrame:
@@ -209,6 +215,7 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = ORDER, head: int = H
             lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int64())) for x in (left, times)] if left else [pa.array([], pa.list_(pa.int64()))] * 2
             at = batch.schema.get_field_index("text")
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(at)), pa.array(known, pa.int64()), *lists], names=[*batch.schema.names[:at], "known", "codes", "times"])
+        release()
 
     rows = rows.mapInArrow(work, "lm_id_ long, lm_hash_ long, lm_lang_ string, lm_length_ long, known long, codes array<long>, times array<long>")
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "lm-rows")  # written: a row keeps its number
@@ -232,11 +239,13 @@ def verdicts(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack:
     trusted = materialize(trusted.select("lm_lang_", "excess", _apart(apart).alias("left_out")), "lm-trusted")
     if not trusted.where("left_out").isEmpty():
         trusted = trusted.where("left_out")
-    at = F.percentile_approx("excess", quantile, 10_000)
+    scatter = max(SCATTER, trusted.agg(F.coalesce(F.stddev_pop("excess"), F.lit(0.0))).first()[0])
+    # a quantile of few documents is uncertain, by about the scatter over the root of their number
+    at = F.percentile_approx("excess", quantile, 10_000) + 3 * scatter / F.sqrt(F.count("excess"))
     limits = materialize(trusted.groupBy("lm_lang_").agg(at.alias("lm_limit_")), "lm-limits")
     # one row a language: broadcast, so that no text moves to meet its limit, unless there are too many
     limits = F.broadcast(limits) if limits.count() <= MOST_LANGUAGES else limits
-    overall = trusted.agg(at.alias("limit")).first()["limit"]
+    overall = trusted.where("excess IS NOT NULL").groupBy().agg(F.when(F.count("excess") > 0, at).alias("limit")).first()["limit"]
     # rows that agree in id and text agree in bits
     scored = scored.groupBy("lm_id_", "lm_hash_").agg(F.max("bits").alias("bits"))
     own = docs.withColumn("lm_own_", F.xxhash64(F.col("text").cast("string")))
