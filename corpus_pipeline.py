@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, near_duplicates, packing, personal_data, quality_model
-from tidemark.llm.shared import materialize
+from tidemark.llm.shared import discard, materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates, that with the smallest id."""
+    """Keep one document of each group of near-duplicates, that with the smallest id.
+
+    Groups link at a similarity of 0.8 or more, as near-duplicate stages do where
+    no contract says otherwise; the query op3 has a contract of its own, 0.85.
+    """
     return near_duplicates.without_duplicates(docs, percent=80)
 
 
@@ -49,7 +53,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result but the last is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
