@@ -408,22 +408,32 @@ def duration_gate(spark, sf_dir):
     return found.withColumn("boundaries", F.array_join(F.transform(temporal.inner_boundaries(proposed, F.col("duration")), lambda b: F.format_string("%.1f", b)), ","))
 
 
+_SHOWN = f"""
+SELECT CAST(user_id AS VARCHAR) AS video_id, event_id, CAST({SECONDS} // 3600 AS DOUBLE) AS t, 'frames/' || event_id || '.jpg' AS file, event_type FROM events
+"""
+
+
 # D7, D2, G11
 @query(
     "visual_context",
     f"""
-WITH e AS ({_EVENTS}), s AS (SELECT user_id, min(t) + 86400 AS t_lo, max(t) - 86400 AS t_hi FROM e GROUP BY user_id)
-SELECT s.user_id, string_agg('[' || {fmt('e.t % 5000')} || '] ' || e.event_id || CASE WHEN o.o_orderkey IS NOT NULL THEN ' ' || o.o_orderpriority ELSE '' END, chr(10) ORDER BY e.event_id) AS context
-FROM s JOIN e ON e.user_id = s.user_id AND e.t >= s.t_lo AND e.t <= s.t_hi LEFT JOIN orders o ON o.o_orderkey = e.event_id WHERE s.t_lo <= s.t_hi GROUP BY s.user_id
+WITH e AS ({_SHOWN}), s AS (SELECT video_id, min(t) + 24 AS t_lo, max(t) - 24 AS t_hi FROM e GROUP BY video_id)
+SELECT s.video_id, s.t_lo, s.t_hi, coalesce(string_agg('[' || {fmt('e.t')} || '] ' || e.file || ': ' || e.event_type || CASE WHEN e.event_type = 'purchase' THEN ' (pointer on: cart)' ELSE '' END
+  || CASE WHEN o.o_orderkey IS NOT NULL THEN chr(10) || '  reconstruction (reconstructions/' || e.event_id || '.md):' || chr(10) || o.o_orderpriority ELSE '' END, chr(10) ORDER BY e.t, e.file), '(no visual content in this span)') AS visual
+FROM s LEFT JOIN e ON e.video_id = s.video_id AND e.t >= s.t_lo AND e.t <= s.t_hi LEFT JOIN orders o ON o.o_orderkey = e.event_id GROUP BY s.video_id, s.t_lo, s.t_hi
 """,
 )
 def visual_context(spark, sf_dir):
-    e = _read(spark, sf_dir, "events").select("user_id", "event_id", _epoch().alias("t"))
-    spans = e.groupBy("user_id").agg((F.min("t") + 86_400).alias("lo"), (F.max("t") - 86_400).alias("hi"))
-    inside = temporal.interval_join(spans, e.withColumn("r_lo", F.col("t")).withColumn("r_hi", F.col("t")), ["user_id"], 30 * 86_400.0)
-    orders = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), "o_orderpriority")
-    line = F.concat(T.stamped_line(F.col("t") % 5000, F.col("event_id").cast("string")), F.coalesce(F.concat(F.lit(" "), F.col("o_orderpriority")), F.lit("")))
-    return inside.join(orders, "event_id", "left").groupBy("user_id").agg(T.ordered_text(line, F.col("event_id"), "\n").alias("context"))
+    """Users are videos of one chunk on a clock of hours; orders are reconstructions of the frames that they share a number with."""
+    from . import stages
+
+    file = F.concat(F.lit("frames/"), F.col("event_id").cast("string"), F.lit(".jpg"))
+    pointer = F.when(F.col("event_type") == "purchase", "cart").otherwise("")
+    e = _read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("video_id"), "event_id", F.floor(_epoch() / 3600).cast("double").alias("t"), file.alias("file"), F.col("event_type").alias("description"), pointer.alias("pointer_target"))
+    spans = e.groupBy("video_id").agg(F.lit(1).cast("long").alias("chunk"), (F.min("t") + 24).alias("t_lo"), (F.max("t") - 24).alias("t_hi"))
+    made = e.join(_read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), F.col("o_orderpriority").alias("body")), "event_id")
+    made = made.select("video_id", F.col("file").alias("frame"), "t", T.reconstruction_file(F.col("file"), F.lit("code")).alias("file"), "body")
+    return stages.visual_context(spans, e.drop("event_id"), made).select("video_id", "t_lo", "t_hi", "visual")
 
 
 _NORMED = f"d AS (SELECT doc_id, {norm('text')} AS t FROM documents), b AS (SELECT item_id, {norm('text')} AS q FROM benchmark)"
@@ -472,15 +482,17 @@ def fuzzy_quotes(spark, sf_dir):
     return quotes.check_claims(claims, transcripts).select("video_id", "turn", "quote_verified")
 
 
-# G2, E5
+# E5
 @query(
     "quote_failures",
-    f"WITH {_NORMED} SELECT count(*) AS n_quotes, count(*) FILTER (WHERE NOT found) AS quote_check_failures FROM (SELECT item_id, bool_or(coalesce(contains(t, q), FALSE)) AS found FROM b LEFT JOIN d ON contains(t, q) AND q <> '' GROUP BY item_id)",
+    f"WITH {_NORMED} SELECT length(q) // 200 AS size, count(*) FILTER (WHERE NOT found) AS quote_check_failures FROM (SELECT item_id, any_value(q) AS q, bool_or(coalesce(contains(t, q), FALSE)) AS found FROM b LEFT JOIN d ON contains(t, q) AND q <> '' GROUP BY item_id) GROUP BY size",
 )
 def quote_failures(spark, sf_dir):
-    found = exact_quotes(spark, sf_dir).select("quote_id").distinct().withColumn("quote_verified", F.lit(True))
-    all_ = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("quote_id")).join(found, "quote_id", "left").withColumn("quote_verified", F.coalesce("quote_verified", F.lit(False)))
-    return all_.agg(F.count("*").alias("n_quotes"), F.count_if(~F.col("quote_verified")).alias("quote_check_failures"))
+    """Passages that no document holds word for word, by their length in steps of 200 characters."""
+    found = exact_quotes(spark, sf_dir).select("quote_id").distinct().withColumn("hit", F.lit(True))
+    size = F.floor(F.length(T.normalized(F.col("text"))) / 200).alias("size")
+    checked = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("quote_id"), size).join(found, "quote_id", "left").withColumn("quote_verified", F.coalesce("hit", F.lit(False)))
+    return quotes.failures(checked, ["size"])
 
 
 _FREQUENCIES = f"""
@@ -548,11 +560,12 @@ def sparse_corrections(spark, sf_dir):
 
 
 # A12
-@query("best_transcript", "SELECT conv_id, turn AS seg_no, CASE WHEN conv_id % 2 = 0 THEN 'corrected: ' || text ELSE text END AS text FROM conversations WHERE conv_id % 2 = 1 OR turn % 2 = 0")
+@query("best_transcript", "SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END AS seg_no, coalesce('quality ' || l.quality, d.text) AS text FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
 def best_transcript(spark, sf_dir):
-    raw = _segments(spark, sf_dir).select("conv_id", "seg_no", "text")
-    corrected = raw.where("conv_id % 2 = 0 AND seg_no % 2 = 0").withColumn("text", F.concat(F.lit("corrected: "), F.col("text")))
-    return evaluation.best_transcript(raw, corrected, ["conv_id"])
+    """Documents are transcripts of one segment, labels the corrected ones."""
+    raw = _read(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("seg_no"), "text")
+    corrected = _read(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("seg_no"), F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("text"))
+    return evaluation.best_transcript(raw, corrected.join(raw, "doc_id", "left_semi"), ["doc_id"])
 
 
 # F9
@@ -641,10 +654,10 @@ def unsupported_claims(spark, sf_dir):
 # A14
 @query(
     "artifact_text",
-    "SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, concat_ws(chr(10) || chr(10), '## distilled.yaml' || chr(10) || chr(10) || d.text, '## resolved.md' || chr(10) || chr(10) || 'quality ' || l.quality) AS text FROM (SELECT * FROM documents WHERE doc_id % 3 > 0) d FULL JOIN labels l ON l.doc_id = d.doc_id",
+    "SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, concat_ws(chr(10) || chr(10), '## distilled.yaml' || chr(10) || chr(10) || d.text, '## resolved.md' || chr(10) || chr(10) || 'quality ' || l.quality) AS text FROM documents d FULL JOIN labels l ON l.doc_id = d.doc_id",
 )
 def artifact_text(spark, sf_dir):
-    d = _read(spark, sf_dir, "documents").where("doc_id % 3 > 0").select("doc_id", "text")
+    d = _read(spark, sf_dir, "documents").select("doc_id", "text")
     r = _read(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("text"))
     return evaluation.artifact_text(d, r, ["doc_id"])
 
@@ -674,10 +687,11 @@ def request_keys(spark, sf_dir):
 
 
 # D11, G3
-@query("cache_split", f"SELECT conv_id, turn, {_KEY % 'text'} IN (SELECT {_KEY % 'text'} FROM conversations WHERE conv_id % 3 = 0) AS hit FROM conversations")
+@query("cache_split", f"SELECT conv_id, turn, {_KEY % 'text'} IN (SELECT {_KEY % 'text'} FROM conversations WHERE role = 'user') AS hit FROM conversations")
 def cache_split(spark, sf_dir):
     requests = request_keys(spark, sf_dir)
-    cache = requests.where("conv_id % 3 = 0").select("key", F.lit("kept").alias("text")).dropDuplicates(["key"])
+    asked = _read(spark, sf_dir, "conversations").where("role = 'user'")
+    cache = asked.select(provider.request_key("offline", F.col("text")).alias("key")).select("key", F.lit("kept").alias("text")).dropDuplicates(["key"])
     hits, misses = provider.split_by_cache(requests, cache)
     return hits.select("conv_id", "turn", F.lit(True).alias("hit")).unionByName(misses.select("conv_id", "turn", F.lit(False).alias("hit")))
 
@@ -734,13 +748,28 @@ def tolerant_json(spark, sf_dir):
     return found.where("a IS NOT NULL").select("event_id", F.col("a")[0]["k"].alias("k"), F.size("a").alias("n"))
 
 
-# A1, E1: pixel blobs made from the vectors
-@query("pixel_diffs", None)
+# A1, E1: pixel blobs made from the vectors, one pixel a tile
+@query(
+    "pixel_diffs",
+    """
+WITH p AS (SELECT label, vec_id, list_transform(embedding, lambda x: greatest(least(floor((x::DOUBLE + 1) * 127), 255), 0)) AS px FROM embeddings),
+b AS (SELECT *, lag(px) OVER (PARTITION BY label ORDER BY vec_id) AS before FROM p),
+d AS (SELECT label, vec_id, list_transform(list_zip(before, px), lambda z: abs(z[1] - z[2])) AS diffs FROM b WHERE before IS NOT NULL),
+m AS (SELECT *, list_aggregate(diffs, 'median') AS med FROM d)
+SELECT label, vec_id AS idx, round(med, 6) AS med, CASE WHEN med > 25.0 THEN 'cut' WHEN changed = 0 THEN 'stable' WHEN changed / len(diffs) <= 0.25 THEN 'build' ELSE 'cut' END AS kind
+FROM (SELECT *, len(list_filter(diffs, lambda d: d - med > 14.0)) AS changed FROM m)
+""",
+)
 def pixel_diffs(spark, sf_dir):
     from ..functions.pixels import pgm_udf
 
-    byte = lambda x: F.lpad(F.hex(F.greatest(F.least(F.floor((x + 1) * 127), F.lit(255)), F.lit(0)).cast("int")), 2, "0")
+    byte = lambda x: F.lpad(F.hex(F.greatest(F.least(F.floor((x.cast("double") + 1) * 127), F.lit(255)), F.lit(0)).cast("int")), 2, "0")
     blob = F.concat(F.encode(F.lit("P5\n# made from a vector\n8 8\n255\n"), "US-ASCII"), F.unhex(F.array_join(F.transform("embedding", byte), "")))
     thumbs = _read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("idx"), pgm_udf()(blob).alias("p")).select("label", "idx", "p.*")
     found = segmentation.transitions(thumbs, ["label"])
     return found.select("label", "idx", F.round("med", 6).alias("med"), "kind")
+
+
+def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which benchmark passages occur word for word in which documents."""
+    return exact_quotes(spark, sf_dir)
