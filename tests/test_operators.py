@@ -95,6 +95,23 @@ def test_exact_matches_by_anchor_too(spark, monkeypatch):
     assert sorted(tuple(r) for r in quotes.exact_matches(q, t).collect()) == want
 
 
+def test_claims_like_a_plain_check(spark, sf_dir):
+    """The query's verdicts against difflib over every window of every conversation."""
+    from tidemark.plans.queries import QUERIES, _claims
+
+    plain = lambda x: re.sub(r"\s+", " ", re.sub(r"[^\w\s]", " ", (x or "").lower())).strip()
+    claims, transcripts = _claims(spark, sf_dir)
+    said = {r["video_id"]: plain(r["transcript"]) for r in transcripts.collect()}
+    want = {}
+    for r in claims.collect():
+        q, t = plain(r["quote"]), said[r["video_id"]]
+        w, n = t.split(), len(q.split())
+        windows = [" ".join(w[i : i + n]) for i in range(0, len(w) - n + 1, max(1, n // 4))] if n else []
+        want[r["video_id"], r["turn"]] = bool(q) and (q in t or any(difflib.SequenceMatcher(None, q, x).ratio() >= 0.85 for x in windows))
+    got = {(r["video_id"], r["turn"]): r["quote_verified"] for r in QUERIES["fuzzy_quotes"](spark, sf_dir).collect()}
+    assert got == want and len(set(want.values())) == 2
+
+
 def test_claims(spark):
     claims = spark.createDataFrame([("v", 0, "about five days"), ("v", 1, "an invented line"), ("w", 0, "no transcript")], "video_id string, claim_no long, quote string")
     checked = quotes.check_claims(claims, spark.createDataFrame([("v", TALK)], "video_id string, transcript string"))

@@ -40,7 +40,7 @@ def test_read_transcripts(spark, tmp_path):
     rows = subtitles.read_transcripts(spark, str(tmp_path)).orderBy("video_id").collect()
     assert [(r["video_id"], r["text"]) for r in rows] == [("a", "x"), ("b", "y")]
     (tmp_path / "c.txt").write_text("z")
-    with pytest.raises(Exception, match="unsupported transcript format"):
+    with pytest.raises(Exception, match="neither .vtt, .srt nor .json"):
         subtitles.read_transcripts(spark, str(tmp_path)).collect()
 
 

@@ -130,16 +130,75 @@ def test_answers_that_do_not_parse(spark):
         S.answers_as(spark.createDataFrame([("hm",)], "answer string"), "array<int>", True).collect()
 
 
-def test_command_line(spark, tmp_path):
-    from tidemark.cli import execute, parser
+def test_answers_that_came_are_kept(spark, tmp_path):
+    """A refusal, a cut and a failing call are raised and not kept; the others' answers are, and are not asked for again."""
+    from tidemark.plans.provider import Answer, ModelError, Provider
+
+    asked = spark.createDataFrame([(p,) for p in ("good", "refuse", "long", "break", "other")], "prompt string")
+    cache = Cache(spark, str(tmp_path / "cache"))
+
+    def call(prompt, images, system, max_tokens, effort):
+        if prompt == "break":
+            raise OSError("no line")
+        return Answer(prompt.upper(), {"refuse": "refusal", "long": "max_tokens"}.get(prompt, "end"), "m-1", "3 tokens")
+
+    with pytest.raises(ModelError, match="3 requests"):
+        cache.answer(asked, Provider("m", lambda: call))
+    assert {(r["text"], r["model"], r["usage"]) for r in cache.read().collect()} == {("GOOD", "m-1", "3 tokens"), ("OTHER", "m-1", "3 tokens")}
+    again = cache.answer(asked, Provider("m", lambda: lambda prompt, *a: f"second {prompt}")).collect()
+    assert {r["prompt"]: r["answer"] for r in again} == {"good": "GOOD", "other": "OTHER", "refuse": "second refuse", "long": "second long", "break": "second break"}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tidemark.cli import execute, main, parser
 
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "v.vtt").write_text("00:01.000 --> 00:02.000\nhello\n")
-    execute(spark, parser().parse_args(["-a", str(tmp_path / "out"), "transcribe", "--from", str(tmp_path / "in")]))
+    (tmp_path / "thumbs" / "v").mkdir(parents=True)
+    for i, v in enumerate((10, 10, 200), 1):
+        (tmp_path / "thumbs" / "v" / f"{i:06d}.pgm").write_bytes(b"P5\n16 8\n255\n" + bytes([v]) * 128)
+    run = lambda *args: execute(spark, parser().parse_args(["-a", str(tmp_path / "out"), *args]))
+    run("transcribe", "--from", str(tmp_path / "in"))
+    run("sample", "--thumbs", str(tmp_path / "thumbs"))
+    run("ocr")
+    run("align")
     c = Catalog(spark, str(tmp_path / "out"))
-    assert c.segments().first()["text"] == "hello"
+    assert c.segments().first()["text"] == "hello" and c.read("ocr").count() == 2
+    assert {bytes(r["content"])[:8] for r in c.read("image").collect()} == {b"\x89PNG\r\n\x1a\n"}
     done = {r["stage"]: r["done"] for r in c.status().collect()}
-    assert done["segment"] and not done["report"]
+    assert done["segment"] and done["ocr"] and not done["report"]
+    said = capsys.readouterr().out
+    assert "transcribe: 1 segments" in said and "sample: kept 2 frames" in said and "read 2 frames, 2 of them with text" in said
+    text = "\n".join(r["value"] for r in spark.read.text(c.path("documents/aligned.md")).collect())
+    assert text.startswith("# Aligned") and '"hello"' in text
+    # errors are told and end with 1, also where a table is missing
+    import tidemark.cli
+
+    for args, message in ((["describe"], "no table frame"), (["transcribe"], "transcribe needs"), (["sample"], "folder of videos"), (["verify"], "no table claim")):
+        assert main(["-a", str(tmp_path / "empty"), *args]) == 1 and message in capsys.readouterr().err
+    recogniser = f"{__name__}:recogniser"
+    sys.modules.setdefault(__name__, sys.modules[recogniser.partition(":")[0]])
+    (tmp_path / "videos").mkdir()
+    (tmp_path / "videos" / "w.mp4").write_bytes(b"0")
+    run("transcribe", "--videos", str(tmp_path / "videos"), "--asr", recogniser, "--asr-model", "tiny")
+    assert [(r["video_id"], r["text"]) for r in c.read("segment").collect()] == [("w", "by tiny")]
+    assert tidemark.cli._provider(None, "own").model == "own"
+
+
+def recogniser(size):
+    return lambda path: json.dumps({"segments": [{"start": 0, "end": 1, "text": f" by {size}", "words": []}]})
+
+
+def test_documents(spark):
+    segment = spark.createDataFrame([("v", 1, "b"), ("v", 0, "a")], "video_id string, line_no long, text string")
+    assert S.resolved_document(segment).first()["document"].endswith("\n\na\nb\n")
+    header = spark.createDataFrame([("v", "T", "o", "a", 1)], "video_id string, title string, one_line string, assumed_context string, quote_check_failures long")
+    claims = spark.createDataFrame([("v", 2, 0, "c2"), ("v", 1, 1, "b1"), ("v", 1, 0, "a1")], "video_id string, chunk long, claim_no long, claim string")
+    glossary = spark.createDataFrame([("v", 1, "term", "d", 0.0)], "video_id string, chunk long, term string, definition string, t double")
+    state = spark.createDataFrame([("v", 2, 0, "fact")], "video_id string, chunk long, line_no long, line string")
+    found = json.loads(S.distilled_document(header, claims, glossary, state).first()["document"])
+    assert found["title"] == "T" and [[x["claim"] for x in k["claims"]] for k in found["chunks"]] == [["a1", "b1"], ["c2"]]
+    assert found["chunks"][0]["glossary"][0]["term"] == "term" and found["chunks"][1]["new_state"] == ["fact"]
 
 
 def test_streaming_like_batch(spark, tmp_path):

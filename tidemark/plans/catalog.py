@@ -39,6 +39,10 @@ class Catalog:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def need(self, name: str) -> DataFrame:
+        """A table that an earlier stage must have written."""
+        return read_table(self.spark, name, self.path(name), missing_ok=False)
+
     def write(self, name: str, df: DataFrame, mode: str = "overwrite") -> DataFrame:
         df.write.mode(mode).parquet(self.path(name))
         return self.read(name)
@@ -53,6 +57,10 @@ class Catalog:
         inner = F.struct(*(c for c in rows.columns if c not in keys))
         rows.groupBy(*keys).agg(F.to_json(F.sort_array(F.collect_list(inner))).alias("rows")).write.mode("overwrite").json(path)
 
+    def write_document(self, name: str, documents: DataFrame) -> None:
+        """One text a video (video_id, document) as documents/<name>/video_id=<video>/part-*.txt."""
+        documents.select("video_id", F.col("document").alias("value")).write.mode("overwrite").partitionBy("video_id").text(self.path(f"documents/{name}"))
+
     def status(self) -> DataFrame:
         """(video_id, stage, done, score): which tables have rows of which video, with the latest score."""
         found = [self.read(t).select("video_id", F.lit(t).alias("stage")).distinct() for t in TABLES]

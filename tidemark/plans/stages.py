@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import evaluation, quotes, ranking, runs, segmentation, temporal, timeline
-from ..schemas import CHUNK_MINUTES, CORRECTION_BATCH, FIRST_CHUNK, FRAME_LOOK_BACK, HEADER_BUDGET, NO_SPEECH, NO_VISUAL, QUESTIONS, RESOLUTION_BATCH, SCHEMAS, SPEECH_RADIUS, EngineError
+from ..schemas import CHUNK_MINUTES, CORRECTION_BATCH, FIRST_CHUNK, FRAME_LOOK_BACK, HEADER_BUDGET, NO_SPEECH, NO_VISUAL, QUESTIONS, RESOLUTION_BATCH, RESOLVED_HEADING, SCHEMAS, SPEECH_RADIUS, EngineError
 from .provider import Cache, Provider
 
 VIDEO = ["video_id"]
@@ -258,3 +258,25 @@ def verify(source: DataFrame, artifact: DataFrame, claims: DataFrame, segments:
     empty = lambda c: F.coalesce(c, F.array())
     out = out.withColumn("holes", empty(F.col("holes"))).withColumn("unsupported_claims", empty(F.col("unsupported_claims")))
     return out.select(*(c.split(" ")[0] for c in SCHEMAS["report"].split(", ") if c.split(" ")[0] in out.columns))
+
+
+def resolved_document(lines: DataFrame) -> DataFrame:
+    """(video_id, document): the resolved lines below a heading."""
+    text = T.ordered_text(F.col("text"), F.col("line_no"), "\n")
+    return lines.groupBy(*VIDEO).agg(F.concat(F.lit(RESOLVED_HEADING + "\n\n"), text, F.lit("\n")).alias("document"))
+
+
+def distilled_document(header: DataFrame, claims: DataFrame, glossary: DataFrame, new_state: DataFrame) -> DataFrame:
+    """(video_id, document): header and chunks, each with its claims, terms and established facts, as JSON."""
+
+    def listed(df: DataFrame, name: str, order: list[str], value) -> DataFrame:
+        rows = F.sort_array(F.collect_list(F.struct(*order, value.alias("v"))))
+        return df.groupBy("video_id", "chunk").agg(F.transform(rows, lambda x: x["v"]).alias(name))
+
+    inner = lambda df: F.struct(*(c for c in df.columns if c not in ("video_id", "chunk", "claim_no", "line_no")))
+    parts = [listed(claims, "claims", ["claim_no"], inner(claims)), listed(glossary, "glossary", ["t", "term"], inner(glossary)), listed(new_state, "new_state", ["line_no"], F.col("line"))]
+    chunks = reduce(lambda x, y: x.join(y, ["video_id", "chunk"], "full"), parts)
+    row = F.struct("chunk", "claims", "glossary", "new_state")
+    chunks = chunks.groupBy(*VIDEO).agg(F.collect_list(row).alias("rows"))
+    chunks = chunks.withColumn("chunks", F.array_sort("rows", lambda x, y: (x["chunk"] - y["chunk"]).cast("int")))
+    return header.join(chunks, "video_id", "left").select("video_id", F.to_json(F.struct("title", "one_line", "assumed_context", "quote_check_failures", "chunks")).alias("document"))

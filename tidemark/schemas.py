@@ -13,6 +13,7 @@ SCHEMAS = {
     "interval": "video_id string, start_idx long, end_idx long, grp long, entered_by string, exited_by string",
     "frame": "video_id string, t double, ts string, interval_start double, interval_end double, file string, grp long, entered_by string",
     "segment": f"video_id string, seg_no long, start double, end double, text string, words array<{WORD}>",
+    "image": "video_id string, file string, content binary",
     "ocr": "video_id string, file string, text string",
     "description": "video_id string, file string, t double, description string, pointer_target string, content_type string, needs_reconstruction boolean, on_screen_text_gist string",
     "reconstruction": "video_id string, frame string, t double, content_type string, file string, body string, roundtrip struct<verdict:string,discrepancies:array<string>>",
@@ -62,6 +63,7 @@ NO_ANSWER = "(no answer)"
 NO_SPEECH = "(no speech near this frame)"
 NO_VISUAL = "(no visual content in this span)"
 FIRST_CHUNK = "(nothing yet — this is the first chunk)"
+RESOLVED_HEADING = "# Deixis-resolved transcript"
 EXTENSIONS = {"equation": ".tex", "diagram": ".mmd"}
 MEDIA_TYPES = {".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".png": "image/png", ".webp": "image/webp", ".gif": "image/gif"}
 

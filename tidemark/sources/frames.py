@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import shutil
+import struct
 import subprocess
+import zlib
 from collections.abc import Iterator
 from itertools import batched
 from typing import BinaryIO
@@ -76,7 +78,25 @@ def extract_frames(manifest: DataFrame, videos: DataFrame, decode=None) -> DataF
             yield batch.assign(content=[decode(p, t) for p, t in zip(batch["path"], batch["t"])])[["video_id", "file", "content"]]
 
     wanted = manifest.join(videos, "video_id").select("video_id", "file", "t", "path")
-    return wanted.mapInPandas(work, "video_id string, file string, content binary")
+    return wanted.mapInPandas(work, SCHEMAS["image"])
+
+
+def _png(width: int, height: int, pixels: bytes) -> bytes:
+    """A grey PNG of the pixels."""
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    rows = b"".join(b"\0" + pixels[y * width : (y + 1) * width] for y in range(height))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+def thumb_images(manifest: DataFrame, thumbs: DataFrame, fps: float = FPS) -> DataFrame:
+    """(video_id, file, content) of the kept frames where only thumbs are given: the thumbs themselves."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(content=[_png(*x) for x in zip(batch["width"], batch["height"], batch["pixels"])])[["video_id", "file", "content"]]
+
+    kept = manifest.select("video_id", "file", F.round(F.col("t") * fps).cast("long").alias("idx")).join(thumbs, ["video_id", "idx"])
+    return kept.select("video_id", "file", "width", "height", "pixels").mapInPandas(work, SCHEMAS["image"])
 
 
 def transcribe(videos: DataFrame, recognise) -> DataFrame:

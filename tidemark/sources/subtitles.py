@@ -60,7 +60,7 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     """
     files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_name").alias("name"))
     suffix = F.lower(F.regexp_extract("name", r"(\.[^.]*)$", 1))
-    bad = F.raise_error(F.concat(F.lit("unsupported transcript format: "), F.col("name")))
+    bad = F.raise_error(F.concat(F.lit("neither .vtt, .srt nor .json: "), F.col("name")))
     files = files.select(F.regexp_replace("name", r"\.[^.]*$", "").alias("video_id"), F.when(suffix.isin(".vtt", ".srt", ".json"), suffix).otherwise(bad).alias("suffix"), "value")
     return parse_subtitles(files.where("suffix <> '.json'")).unionByName(parse_speech_json(files.where("suffix = '.json'")))
 

@@ -26,13 +26,12 @@ def closed_intervals(frames: DataFrame, idle: str | None = None, tile_threshold:
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
     columns = [c.split(" ")[0] for c in SCHEMAS["interval"].split(", ")]
 
-    def kind(before: np.ndarray, after: np.ndarray) -> str:
-        d = np.abs(after - before)
-        med = float(np.median(d))
-        if med > cut_threshold:
-            return "cut"
-        changed = int((d - med > tile_threshold).sum())
-        return "stable" if not changed else "build" if changed / len(d) <= build_fraction else "cut"
+    def kinds(tiles: np.ndarray) -> np.ndarray:
+        """Class of each frame but the first, all at once, by the rule of operators.segmentation."""
+        d = np.abs(np.diff(tiles, axis=0))
+        med = np.median(d, axis=1)
+        share = (d - med[:, None] > tile_threshold).mean(axis=1)
+        return np.select([med > cut_threshold, share == 0, share <= build_fraction], ["cut", "stable", "build"], "cut")
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -41,19 +40,18 @@ def closed_intervals(frames: DataFrame, idle: str | None = None, tile_threshold:
             yield pd.DataFrame([(key[0], start, last, grp, entered, "end")], columns=columns)
             return
         held = [*state.get] if state.exists else None
-        out = []
-        for _, row in pd.concat(list(batches)).sort_values("idx").iterrows():
-            idx, tiles = int(row["idx"]), np.asarray(row["tiles"], dtype=float)
-            if held is None:
-                held = [idx, tiles.tolist(), idx, 0, "start"]
-                continue
-            if idx <= held[0]:
-                continue
-            k = kind(np.asarray(held[1], dtype=float), tiles)
-            if k != "stable":
-                out.append((key[0], held[2], held[0], held[3], held[4], k))
-                held[2:] = [idx, held[3] + (k == "cut"), k]
-            held[0], held[1] = idx, tiles.tolist()
+        rows = pd.concat(list(batches)).sort_values("idx").drop_duplicates("idx")
+        idx, tiles = rows["idx"].to_numpy(), np.array(rows["tiles"].tolist(), dtype=float)
+        if held is None:
+            held = [int(idx[0]), None, int(idx[0]), 0, "start"]
+        else:
+            late = idx <= held[0]
+            idx, tiles = np.concatenate([[held[0]], idx[~late]]), np.concatenate([[held[1]], tiles[~late]])
+        out, found = [], kinds(tiles)
+        for i in np.flatnonzero(found != "stable"):
+            out.append((key[0], held[2], int(idx[i]), held[3], held[4], str(found[i])))
+            held[2:] = [int(idx[i + 1]), held[3] + int(found[i] == "cut"), str(found[i])]
+        held[0], held[1] = int(idx[-1]), tiles[-1].tolist()
         state.update(tuple(held))
         if idle_ms:
             state.setTimeoutDuration(idle_ms)
