@@ -548,17 +548,10 @@ def test_quality_model_junk_of_any_script(spark):
     assert all(rows[i]["bits"] > math.log2(len(set(s))) for i, s in zip(range(60, 65), scripts))
 
 
-def test_bits_and_verdicts_like_a_plain_model(spark):
-    """Every document's bits, limit and verdict against dictionaries of byte n-grams."""
-    rng = random.Random(17)
-    texts = [prose(rng, rng.randrange(1, 50)) for _ in range(45)] + ["Straße 漢字 ©", "zzzz zzzz qqqq", "", None, "the of and", "the of and"]
-    langs = [rng.choice(["en", "de", None]) for _ in texts]
-    d, order = docs(spark, texts, langs=langs), 3
-    trusted = set(rng.sample(range(len(texts)), 30)) | {45}
-    labels = spark.createDataFrame([(i, int(i in trusted), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
-    apart = {r[0] for r in spark.range(len(texts)).where("pmod(xxhash64(id, 'apart'), 4) = 0").collect()}
+def plain_bits(trusted, texts, order):
+    """Bits per character of texts under an interpolated modified Kneser-Ney model of the trusted texts' bytes, by dictionaries."""
     grams = lambda t, k: [tuple(([0] * (order - 1) + [b + 1 for b in t.encode()])[i + order - k : i + order]) for i in range(len(t.encode()))]
-    tables = {order: collections.Counter(g for i in trusted - apart for g in grams(texts[i] or "", order))}
+    tables = {order: collections.Counter(g for t in trusted for g in grams(t or "", order))}
     for k in range(order - 1, 0, -1):
         tables[k] = collections.Counter(g[1:] for g in tables[k + 1])
     mates = {k: collections.defaultdict(list) for k in tables}
@@ -578,7 +571,19 @@ def test_bits_and_verdicts_like_a_plain_model(spark):
         m, c = mates[k][g[:-1]], tables[k][g]
         return ((c - cut(c) if c else 0) + sum(map(cut, m)) * p(g[1:])) / sum(m) if m else p(g[1:])
 
-    bits = {i: sum(-math.log2(p(g)) for g in grams(t, order)) / len(t) for i, t in enumerate(texts) if t}
+    return {i: sum(-math.log2(p(g)) for g in grams(t, order)) / len(t) for i, t in texts.items() if t}
+
+
+def test_bits_and_verdicts_like_a_plain_model(spark):
+    """Every document's bits, limit and verdict against dictionaries of byte n-grams."""
+    rng = random.Random(17)
+    texts = [prose(rng, rng.randrange(1, 50)) for _ in range(45)] + ["Straße 漢字 ©", "zzzz zzzz qqqq", "", None, "the of and", "the of and"]
+    langs = [rng.choice(["en", "de", None]) for _ in texts]
+    d, order = docs(spark, texts, langs=langs), 3
+    trusted = set(rng.sample(range(len(texts)), 30)) | {45}
+    labels = spark.createDataFrame([(i, int(i in trusted), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    apart = {r[0] for r in spark.range(len(texts)).where("pmod(xxhash64(id, 'apart'), 4) = 0").collect()}
+    bits = plain_bits([texts[i] for i in trusted - apart], dict(enumerate(texts)), order)
     excess = {i: b - 6 / math.sqrt(len(texts[i])) for i, b in bits.items()}
     left = [i for i in trusted & apart if i in bits]
     scatter = max(0.1, float(np.std([excess[i] for i in left])))
@@ -667,6 +672,86 @@ def test_empty_tables(spark):
     assert toxicity.score(d, toxicity.train(d, labels)).count() == mixing.mixed(d).count() == 0
 
 
+def test_pipeline_like_plain_stages(spark, tmp_path):
+    """Every stage against a plain version of it, and run() against the stages one after the other."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rng = random.Random(24)
+    good = [prose(rng, rng.randrange(30, 90)) for _ in range(40)]
+    texts = {i: t for i, t in enumerate(good)}
+    texts |= {40 + i: " ".join([*good[i].split()[:-1], "changed"]) for i in range(6)}  # near copies
+    texts |= {46: good[3], 47: good[3], 48: "", 49: None}
+    texts |= {50 + i: f"{good[10 + i]} mail a{i}@b.cc or 4111 1111 1111 1111 {prose(rng, 30)}" for i in range(5)}
+    texts |= {60 + i: "".join(rng.choice("QZX#*[]{}") for _ in range(200)) for i in range(8)}
+    rows = [(i, t, rng.choice(["en", "de", None]), rng.choice(["a", "b", None]), len(t or ""), "kept") for i, t in texts.items()]
+    rows += [rows[5], rows[5]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, bits string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    trusted = set(range(0, 40, 2)) | {50, 51}
+    spark.createDataFrame([(i, int(i in trusted), 0) for i in range(68)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = [spark.read.parquet(f"{tmp_path}/documents.parquet")]
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(corpus_pipeline.materialize(stage(spark, out[-1], str(tmp_path)), "test-stage"))
+    got = [x.collect() for x in out]
+    assert all(x.columns == out[0].columns for x in out[:5]) and {r["bits"] for r in got[4]} == {"kept"}
+    # 1: documents whose bits are beyond their language's limit go, repeated rows stay
+    apart = {r[0] for r in spark.range(100).where("pmod(xxhash64(id, 'apart'), 10) = 0").collect()}
+    bits = plain_bits([texts[i] for i in trusted - apart] + [texts[5]] * 0, texts, quality_model.ORDER)
+    excess = {i: b - 6 / math.sqrt(len(texts[i])) for i, b in bits.items()}
+    left = [i for i in trusted & apart if i in bits]
+    scatter = max(0.1, float(np.std([excess[i] for i in left])))
+    limit = lambda v: sorted(v)[max(0, math.ceil(0.995 * len(v)) - 1)] + 3 * scatter / math.sqrt(len(v))
+    own = {r[2]: [excess[i] for i in left if texts[i] is not None and next(x[2] for x in rows if x[0] == i) == r[2]] for r in rows}
+    kept = [r[0] for r in rows if r[0] in bits and excess[r[0]] <= limit(own[r[2]] or [excess[i] for i in left])]
+    assert left and sorted(r["doc_id"] for r in got[1]) == sorted(kept) and 0 < len(set(kept)) < len(texts)
+    # 2: one document of each group of similar ones
+    sets = {i: {tuple(w[k : k + 5]) for w in [texts[i].lower().split()] for k in range(max(1, len(w) - 4))} for i in set(kept)}
+    links = [(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    roots = set(closure(sets, links).values())
+    assert links and sorted(r["doc_id"] for r in got[2]) == sorted(roots)
+    # 3: personal data by its kind
+    clean = {i: re.sub(r"4111 1111 1111 1111", "[CARD]", re.sub(r"a\d@b\.cc", "[EMAIL]", texts[i])) for i in roots}
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in got[3]} == {i: (t, len(t)) for i, t in clean.items()} and any("[CARD]" in t for t in clean.values())
+    # 4: whole copies, two at most, whose words come near each source's target
+    copies, sizes, taken = collections.Counter(r["doc_id"] for r in got[4]), collections.Counter(), collections.Counter()
+    source = {r["doc_id"]: r["source"] for r in got[3]}
+    for i, t in clean.items():
+        sizes[source[i]] += len(t.split())
+        taken[source[i]] += copies[i] * len(t.split())
+    order = sorted((x for x in sizes if x is not None), key=lambda x: x.encode()) + [None] * (None in sizes)
+    weight = {x: (5, 2, 1)[k % 3] for k, x in enumerate(order)}
+    target, free, rest = {}, set(order), 1.5 * sum(sizes.values())
+    while free:
+        w = sum(weight[x] for x in free)
+        over = [x for x in free if rest * weight[x] / w > 2 * sizes[x]]
+        target |= {x: 2.0 * sizes[x] for x in over} if over else {x: rest * weight[x] / w for x in free}
+        free -= set(over) if over else free
+        rest -= sum(target[x] for x in over)
+    assert max(copies.values()) <= 2 and all(abs(taken[x] - target[x]) < min(len(t.split()) for i, t in clean.items() if source[i] == x) for x in order)
+    # 5: every copy's ids once, in sequences without gaps
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: len(library.encode(clean[i], add_special_tokens=False).ids) + 1 for i in copies}
+    for found in (got[5], corpus_pipeline.run(spark, str(tmp_path)).collect()):
+        tokens, sequences = collections.Counter(), collections.defaultdict(list)
+        for r in found:
+            assert r["doc_tokens"] == want[r["doc_id"]]
+            tokens[r["doc_id"]] += r["length"]
+            sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert tokens == {i: n * want[i] for i, n in copies.items()}
+        for s in sequences.values():
+            ends = np.cumsum([n for _, n in sorted(s)]).tolist()
+            assert [o for o, _ in sorted(s)] == [0, *ends[:-1]] and (ends[-1] == 2048 or ends[-1] & (ends[-1] - 1) == 0)
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_runs_and_keeps_columns(spark, sf_dir):
     import corpus_pipeline
 
