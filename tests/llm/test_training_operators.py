@@ -663,6 +663,28 @@ def test_scores_like_the_written_out_sum(spark):
         assert r["score"] == pytest.approx(1 / (1 + math.exp(-max(-40, min(40, z)))))
 
 
+def test_other_columns_of_any_name_do_not_matter(spark):
+    """Operators that add columns of their own give the same rows whatever else the table holds, and redaction keeps it all."""
+    names = "node f1 f2 cell part grp side dim copies least salt size words spans kind score toxic terms ids start first n place slot shard file base h1 lines listed common kept bits root".split()
+    texts = ["mail a@b.cc now", "the same text here again and again", None, "", "the same text here again and again"]
+    d = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    clash = d.withColumns({c: F.lit(i) for i, c in enumerate(names)})
+    v = spark.createDataFrame([(i, [float(i // 2), 1.0], "a") for i in range(6)], "vec_id long, embedding array<double>, label string")
+    words, pieces = (public_tokenizers.path(f"{x}.json") for x in ("word_bpe_49k", "byte_bpe_50k"))
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for run in (
+        lambda x: personal_data.digest(personal_data.find_spans(x)),
+        quality_rules.judge,
+        lambda x: token_counts.count_tokens(x, words),
+        lambda x: packing.pack(x.coalesce(1), pieces).drop("ids"),
+        lambda x: toxicity.score(x, toxicity.Machine()),
+    ):
+        assert rows(run(clash)) == rows(run(d))
+    assert rows(near_vectors.near_vectors(v.withColumns({c: F.lit(1) for c in names}))) == rows(near_vectors.near_vectors(v))
+    out = personal_data.redact(clash)
+    assert out.columns == clash.columns and rows(out.drop("text")) == rows(clash.drop("text"))
+
+
 def test_empty_tables(spark):
     d = docs(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -11,7 +11,8 @@ lengths are powers of two, which need no padding.
 
 Defined cases: a null text counts as empty; every document, empty ones too, ends
 with `end_id`, so no document vanishes; repeated rows are packed each for
-itself; a null doc_id is kept; extra columns are ignored; an empty table gives
+itself; a long text is cut into full sequences as it comes; a null doc_id is
+kept; extra columns are ignored; an empty table gives
 no rows. At most max_class open bins are held, whatever the partition's size.
 """
 

@@ -9,8 +9,9 @@ a distribution and only the base rules hold for them.
 
 Defined cases: a null or empty text has no words, so the base rules fail it; a
 null or unknown language is a language of its own, with the words of all
-lists; repeated rows count each for itself; other columns are ignored; an empty
-table gives no rows.
+lists; repeated rows count each for itself; long texts are counted whole, in
+arrays of some 60 bytes a word; other columns are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
