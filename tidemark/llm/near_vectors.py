@@ -97,10 +97,19 @@ class CoverTree:
             self.levels.append((np.array(centres), np.array(parents), _distance(np.array(lowest)), bounds))
         self.members = order
 
-    def members_at(self, level: int, node: int) -> np.ndarray:
-        """Rows below a node."""
+    def members_at(self, level: int, nodes: np.ndarray) -> np.ndarray:
+        """Rows below some nodes, node after node."""
         bounds = self.levels[level][3]
-        return self.members[bounds[node] : bounds[node + 1]]
+        n = bounds[nodes + 1] - bounds[nodes]
+        return self.members[np.repeat(bounds[nodes] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def _by_first(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each first element of the pairs (as an array of one), all second ones."""
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    cuts = np.flatnonzero(np.diff(i, prepend=-1))
+    return zip(np.split(i[cuts], range(1, len(cuts))) if len(cuts) else [], np.split(j, cuts[1:]))
 
 
 def _children(tree: CoverTree, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,16 +131,17 @@ def dual_traversal(x: np.ndarray, y: np.ndarray, cosine: float, same: bool, wx:
     count_x, count_y = np.zeros(len(x)), np.zeros(len(y))
     edges: list[np.ndarray] = []
 
-    def settle(rows: np.ndarray, cols: np.ndarray, known: bool) -> None:
-        """All pairs of rows and cols, by cosine unless known to link."""
-        if known:
-            count_x[rows] += wy[cols].sum()
-            count_y[cols] += wx[rows].sum()
-            edges.append(np.concatenate([np.stack([rows, np.full(len(rows), cols[0])]), np.stack([np.full(len(cols), rows[0]), cols])], axis=1))
-            return
+    def known(rows: np.ndarray, cols: np.ndarray) -> None:
+        """All rows link with all cols."""
+        count_x[rows] += wy[cols].sum()
+        count_y[cols] += wx[rows].sum()
+        edges.append(np.concatenate([np.stack([rows, np.full(len(rows), cols[0])]), np.stack([np.full(len(cols), rows[0]), cols])], axis=1))
+
+    def settle(rows: np.ndarray, cols: np.ndarray, within: bool = False) -> None:
+        """All pairs of rows and cols by cosine; within: of one node with itself, each pair once."""
         hit = x[rows] @ y[cols].T >= cosine
-        if same and len(rows) == len(cols) and (rows == cols).all():
-            hit &= np.arange(len(rows))[:, None] < np.arange(len(cols))[None, :]
+        if within:
+            hit = np.triu(hit, 1)
         if hit.any():
             count_x[rows] += hit @ wy[cols]
             count_y[cols] += wx[rows] @ hit
@@ -154,15 +164,19 @@ def dual_traversal(x: np.ndarray, y: np.ndarray, cosine: float, same: bool, wx:
             whole = near & (d + ra[i] + rb[j] <= reach - 1e-6)
             if same:
                 whole &= i != j
-            for p, q in zip(i[whole], j[whole]):
-                settle(a.members_at(la, p), b.members_at(lb, q), True)  # no two nodes of a level share a row
+            for p, q in _by_first(i[whole], j[whole]):
+                known(a.members_at(la, p), b.members_at(lb, q))  # no two nodes of a level share a row
             kept_i.append(i[near & ~whole])
             kept_j.append(j[near & ~whole])
         i, j = np.concatenate(kept_i), np.concatenate(kept_j)
         last_a, last_b = la == len(a.levels) - 1, lb == len(b.levels) - 1
         if not len(i) or (last_a and last_b):
-            for p, q in zip(i, j):
-                settle(a.members_at(la, p), b.members_at(lb, q), False)
+            own = same & (i == j)
+            for p, q in _by_first(i[~own], j[~own]):
+                settle(a.members_at(la, p), b.members_at(lb, q))
+            for p in i[own & (np.diff(ba)[i] > 1)]:
+                rows = a.members_at(la, np.array([p]))
+                settle(rows, rows, True)
             break
         if not last_a:
             first, n = _children(a, la)
