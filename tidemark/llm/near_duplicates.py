@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, materialize, release
+from .shared import materialize, release, scratch
 from .streams import runs
 
 SYMBOLS, WORDS = 64, 5
@@ -325,7 +325,9 @@ def _groups(candidates: DataFrame, direct: DataFrame, sizes: DataFrame, block: i
     marked = candidates.join(settled, "node", "left").withColumn("settled", F.coalesce("hit", F.col("node") == F.col("root"))).drop("hit")
     in_blocks = lambda n: F.ceil(n / block).cast("int")
     rest = marked.where("NOT settled").groupBy("root").agg(in_blocks(F.count("*")).alias("rests"))
-    spread = marked.join(rest.join(sizes.select("root", in_blocks(F.col("size")).alias("blocks")), "root"), "root")
+    # a table of its own, so that the join with it can split a large component's rows
+    plan = materialize(rest.join(sizes.select("root", in_blocks(F.col("size")).alias("blocks")), "root"), "near-plan")
+    spread = marked.join(plan, "root")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     ask = spread.where("NOT settled").withColumn("i", F.pmod(F.xxhash64("node"), F.col("rests"))).withColumn("j", each("blocks"))
     all_ = spread.withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))).withColumn("i", each("rests"))
@@ -337,21 +339,20 @@ def _groups(candidates: DataFrame, direct: DataFrame, sizes: DataFrame, block: i
 def duplicates(docs: DataFrame, percent: int = 85, block: int = 64, miss: float = 1e-6, hot: int = 16_384) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document; links are similarities of at least `percent` hundredths."""
     limit = distance_limit(percent / 100, miss)
-    sets = materialize(_sets(docs), "near-sets")
-    reps = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
-    reps = materialize(reps, "near-reps")
-    stars = materialize(_stars(_split(reps.select("id", "n", "signature"), limit, hot), limit, percent), "near-stars")
-    parts = components(stars, "near-parts")
-    candidates = materialize(_candidates(docs, parts), "near-candidates")
-    sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
-    sizes = materialize(sizes.withColumn("salts", F.ceil(F.col("size") / 4096).cast("int")), "near-sizes")
-    direct = materialize(_direct(candidates, sizes, percent), "near-direct")
-    links = materialize(_links(_groups(candidates, direct, sizes, block), limit, percent), "near-links")
-    linked = components(links.unionByName(direct.select(F.col("node").alias("a"), F.col("root").alias("b"))), "near-linked")
-    discard(stars, parts, candidates, sizes, direct, links)
-    classes = reps.select("f1", "f2", "id").join(linked, F.col("id") == F.col("node"), "left").select("f1", "f2", F.coalesce("root", "id").alias("component_id"))
-    classes = materialize(classes, "near-classes")
-    discard(reps, linked)
+    with scratch() as keep:
+        sets = keep(materialize(_sets(docs), "near-sets"))
+        reps = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+        reps = materialize(reps, "near-reps")
+        stars = materialize(_stars(_split(reps.select("id", "n", "signature"), limit, hot), limit, percent), "near-stars")
+        parts = components(stars, "near-parts")
+        candidates = materialize(_candidates(docs, parts), "near-candidates")
+        sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
+        sizes = materialize(sizes.withColumn("salts", F.ceil(F.col("size") / 4096).cast("int")), "near-sizes")
+        direct = materialize(_direct(candidates, sizes, percent), "near-direct")
+        links = materialize(_links(_groups(candidates, direct, sizes, block), limit, percent), "near-links")
+        linked = components(links.unionByName(direct.select(F.col("node").alias("a"), F.col("root").alias("b"))), "near-linked")
+        classes = reps.select("f1", "f2", "id").join(linked, F.col("id") == F.col("node"), "left").select("f1", "f2", F.coalesce("root", "id").alias("component_id"))
+        classes = keep(materialize(classes, "near-classes"))
     out = sets.drop("signature").join(classes, ["f1", "f2"], "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
