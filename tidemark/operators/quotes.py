@@ -26,11 +26,16 @@ def contains(quote: Column, transcript: Column) -> Column:
 
 
 def _grams(words: Column, size: int) -> Column:
-    """Hashes of all runs of `size` words of an array, in order."""
+    """Hashes of all runs of `size` words (1 to ANCHOR) of an array, in order: of words, of pairs, then of pairs and what follows."""
+    bound = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))  # noqa: E731  use's argument is computed once
+    joined = lambda x, y, at: F.zip_with(x, F.slice(y, at + 1, F.greatest(F.size(y) - at, F.lit(0))), lambda p, q: F.xxhash64(p, q))
+    trimmed = lambda runs, h: F.slice(runs, F.lit(1), F.greatest(F.size(h) - (size - 1), F.lit(0)))  # noqa: E731  the shorter side was padded
     hashed = F.transform(words, lambda w: F.xxhash64(w))
-    # what is bound by the outer lambda is computed once, not for every element
-    runs = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (size - 1)), lambda i: F.xxhash64(F.slice(h, i, size)))
-    return F.when(F.size(words) >= size, F.get(F.transform(F.array(hashed), runs), F.lit(0))).otherwise(F.array().cast("array<bigint>"))
+    if size == 1:
+        return hashed
+    if size == 2:
+        return bound(hashed, lambda h: trimmed(joined(h, h, 1), h))
+    return bound(hashed, lambda h: bound(joined(h, h, 1), lambda two: trimmed(joined(two, h if size == 3 else two, 2), h)))
 
 
 def exact_matches(quotes: DataFrame, transcripts: DataFrame) -> DataFrame:
