@@ -95,6 +95,16 @@ def test_exact_matches_by_anchor_too(spark, monkeypatch):
     assert sorted(tuple(r) for r in quotes.exact_matches(q, t).collect()) == want
 
 
+def test_few_quotes_take_one_pass(spark, sf_dir, monkeypatch):
+    """No transcript is moved or read twice for quotes that one automaton takes; with more of them the rows are the same."""
+    from tidemark.plans.queries import QUERIES
+
+    got = QUERIES["quote_failures"](spark, sf_dir)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [doc_id") == 1
+    monkeypatch.setattr(quotes, "SHORT_BLOCK", 50)
+    assert sorted(got.collect()) == sorted(QUERIES["quote_failures"](spark, sf_dir).collect())
+
+
 def test_claims_like_a_plain_check(spark, sf_dir):
     """The query's verdicts against difflib over every window of every conversation."""
     from tidemark.plans.queries import QUERIES, _claims

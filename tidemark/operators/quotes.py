@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,8 @@ from ..schemas import FUZZY_THRESHOLD
 
 #: Words of the inner gram by which a quote and a transcript meet, at most.
 ANCHOR = 4
-#: Most quotes of one or two words, and most characters in them, that are looked for in one pass over the transcripts.
-SHORT_BLOCK, SHORT_CHARS = 20_000, 8_000_000
+#: Most quotes, and most characters in them, that are looked for in one pass over the transcripts: an automaton takes about 46 bytes a character.
+SHORT_BLOCK, SHORT_CHARS = 20_000, 4_000_000
 
 
 def contains(quote: Column, transcript: Column) -> Column:
@@ -41,15 +42,19 @@ def _grams(words: Column, size: int) -> Column:
 def exact_matches(quotes: DataFrame, transcripts: DataFrame) -> DataFrame:
     """(quote_id, transcript_id) of every quote in every transcript that holds it.
 
-    quotes: quote_id, quote; transcripts: transcript_id, transcript. A match may
-    cut a quote's first and last word short but holds its inner words whole. So
-    quotes of three words or more meet transcripts by an equi-join on the hash of
-    an inner run of words, of the quote's runs the one that the fewest
-    transcripts hold: a common run is no hot key. Only pairs that meet are
-    compared. Quotes of one or two words, which have no such run, are looked for
-    by an automaton of all of them, block by block.
+    quotes: quote_id, quote; transcripts: transcript_id, transcript. Quotes that
+    one automaton takes are looked for in one pass, which moves no transcript.
+    Where there are more, a match may cut a quote's first and last word short but
+    holds its inner words whole. So quotes of three words or more meet
+    transcripts by an equi-join on the hash of an inner run of words, of the
+    quote's runs the one that the fewest transcripts hold: a common run is no hot
+    key. Only pairs that meet are compared. Quotes of one or two words, which
+    have no such run, are looked for by automata, block by block.
     """
-    q = quotes.select("quote_id", normalized(F.col("quote")).alias("quote")).where("quote <> ''").withColumn("words", F.split("quote", " "))
+    q = quotes.select("quote_id", normalized(F.col("quote")).alias("quote")).where("quote <> ''")
+    if _blocks(q) <= 1:
+        return _scanned(q, transcripts)
+    q = q.withColumn("words", F.split("quote", " "))
     long, short = q.where(F.size("words") > 2), q.where(F.size("words") <= 2).select("quote_id", "quote")
     found = _scanned(short, transcripts)
     inner = F.size("words") - 2
@@ -72,33 +77,51 @@ def _met(quotes: DataFrame, transcripts: DataFrame, size: int) -> DataFrame:
     return pairs.where(F.contains(normalized(F.col("transcript")), F.col("quote"))).select("quote_id", "transcript_id")
 
 
+def _blocks(quotes: DataFrame) -> int:
+    """How many automata quotes (quote_id, quote) take."""
+    n, chars = quotes.agg(F.count("*"), F.coalesce(F.sum(F.length("quote")), F.lit(0))).first()
+    return max(-(-n // SHORT_BLOCK), -(-chars // SHORT_CHARS))
+
+
+#: The automaton that this Python worker made last, by its name: tasks of one pass share it.
+_AUTOMATON: dict = {}
+
+
+def _automaton(name: str, block: list[tuple]):
+    """The automaton of a block of (quote_id, quote), and the ids of each quote."""
+    if name not in _AUTOMATON:
+        import ahocorasick
+
+        same: dict[str, list] = {}
+        for quote_id, quote in block:
+            same.setdefault(quote, []).append(quote_id)
+        automaton = ahocorasick.Automaton()
+        for quote in same:
+            automaton.add_word(quote, quote)
+        automaton.make_automaton()
+        _AUTOMATON.clear()
+        _AUTOMATON[name] = automaton, same
+    return _AUTOMATON[name]
+
+
 def _scanned(quotes: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Matches of short quotes (quote_id, quote): each pass looks for a block of them of bounded size in all transcripts at once."""
+    """Matches of quotes (quote_id, quote): each pass looks for a block of them of bounded size in all transcripts at once."""
     kinds = [quotes.schema["quote_id"].dataType, transcripts.schema["transcript_id"].dataType]
     out = quotes.sparkSession.createDataFrame([], f"quote_id {kinds[0].simpleString()}, transcript_id {kinds[1].simpleString()}")
     id_type = to_arrow_type(kinds[0])
-    n, chars = quotes.agg(F.count("*"), F.coalesce(F.sum(F.length("quote")), F.lit(0))).first()
-    blocks = max(-(-n // SHORT_BLOCK), -(-chars // SHORT_CHARS))
+    blocks = _blocks(quotes)
     texts = transcripts.select("transcript_id", normalized(F.col("transcript")).alias("transcript"))
     for b in range(blocks):
         block = [tuple(r) for r in quotes.where(F.pmod(F.xxhash64("quote"), F.lit(blocks)) == b).collect()]
 
-        def work(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            import ahocorasick
-
-            same: dict[str, list] = {}
-            for quote_id, quote in block:
-                same.setdefault(quote, []).append(quote_id)
-            automaton = ahocorasick.Automaton()
-            for quote, ids in same.items():
-                automaton.add_word(quote, (quote, ids))
-            automaton.make_automaton()
+        def work(batches: Iterator[pa.RecordBatch], block=block, name=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            automaton, same = _automaton(name, block)
             for batch in batches:
                 found: tuple[list, list] = ([], [])
-                for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    for quote in {x[0] for _, x in automaton.iter(text.as_py() or "")}:
+                for transcript_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    for quote in {x for _, x in automaton.iter(text.as_py() or "")}:
                         found[0].extend(same[quote])
-                        found[1].extend([name] * len(same[quote]))
+                        found[1].extend([transcript_id] * len(same[quote]))
                 yield pa.RecordBatch.from_arrays([pa.array(found[0], id_type), pa.array(found[1], batch.schema.field(0).type)], names=["quote_id", "transcript_id"])
 
         if block:
