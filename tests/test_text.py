@@ -26,6 +26,16 @@ def test_normalized_like_unicode_words(spark):
     assert one(spark, "  It's ÄÖ, naïve—ßtraße_1 x!", T.normalized) == "it s äö naïve ßtraße_1 x"
 
 
+def test_normalized_in_one_pass(spark):
+    """One pattern over the text, with the rows of two: other characters as blanks, then blanks as one."""
+    in_two = lambda c: T.collapsed(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}_" + T.BLANK_CLASS[1:], " "))
+    assert T.normalized(F.col("v"))._jc.toString().count("regexp_replace") == 1
+    texts = [None, "", " .", "a" + T.BLANKS + "b", "a..b", "_ -_", "\u0130 \u03a3\u03c2 e\u0301\u200b\ufeffx \U0001f600\u0967\u2167", "." * 100_000]
+    texts += [f"{chr(c)}a{chr(c)} {chr(c)}B" for c in range(0x3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert df.where(~T.normalized(F.col("v")).eqNullSafe(in_two(F.col("v")))).count() == 0
+
+
 @pytest.mark.parametrize("t,name", [(0.25, "frames/frame_000000.2.jpg"), (12.0, "frames/frame_000012.0.jpg"), (123456.75, "frames/frame_123456.8.jpg")])
 def test_frame_file(spark, t, name):
     assert one(spark, t, T.frame_file, "double") == name

@@ -50,7 +50,7 @@ def clean_cue(text: Column) -> Column:
 
 def normalized(text: Column) -> Column:
     """Lower case, punctuation as blanks, single blanks: the form in which quotes are compared."""
-    return collapsed(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_" + BLANK_CLASS[1:], " "))
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]+", " "))  # white space is no letter, number or underscore
 
 
 def frame_time(idx: Column, fps: float = 1.0) -> Column:
