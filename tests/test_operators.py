@@ -2,6 +2,7 @@ import difflib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,54 @@ def test_fuzzy_like_a_plain_scan():
         assert quotes.fuzzy_ratio_reached(" ".join(q), " ".join(t)) == want
 
 
+def subsequence(a, b):
+    last = [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(row[j], last[j + 1]))
+        last = row
+    return last[-1]
+
+
+def test_common_subsequences():
+    """Of a quote and each window, against the plain table."""
+    rng = random.Random(6)
+    for letters in ("ab", "abcdefgh", "a\u00e9\U0001f600z"):
+        t = quotes.Transcript(" ".join("".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(90)))
+        for n in (1, 5, 40):
+            q = " ".join("".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(n))
+            first = np.array(sorted(rng.sample(range(90 - n + 1), 20)) + [90 - n])
+            assert t.common(q, t.starts[first], t.ends[first + n - 1]).tolist() == [subsequence(q, " ".join(t.words[i : i + n])) for i in first]
+
+
+def test_few_windows_are_compared_by_matching_blocks(monkeypatch):
+    """Quotes read backwards have the characters of many windows, but not their order."""
+    rng = random.Random(6)
+    talk = quotes.Transcript(" ".join("".join(rng.choices("etaoin", k=4)) for _ in range(400)))
+    compared, plain = [], difflib.SequenceMatcher
+    monkeypatch.setattr(quotes.difflib, "SequenceMatcher", lambda *a: compared.append(a) or plain(*a))
+    assert not any(talk.holds_nearly(" ".join(talk.words[i : i + 12])[::-1]) for i in range(0, 380, 10))
+    assert len(compared) < 10
+
+
+def test_claims_of_a_long_video_are_dealt_out(spark, monkeypatch):
+    """A row for each block of claims, and the same verdicts, equal and missing quotes included."""
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(600)]
+    said = [" ".join(words[i : i + 6]) for i in range(0, 590, 7)]
+    told = [x if i % 3 else x[::-1] if i % 2 else x.replace("a", "", 1) for i, x in enumerate(said)] + [None, "", said[1], said[1]]
+    claims = spark.createDataFrame([("v", i, x) for i, x in enumerate(told)] + [("w", 0, said[0])], "video_id string, claim_no long, quote string")
+    transcripts = spark.createDataFrame([("v", " ".join(words))], "video_id string, transcript string")
+    seen = lambda: sorted((r["video_id"], r["claim_no"], r["quote_verified"]) for r in quotes.check_claims(claims, transcripts).collect())
+    assert "RepartitionByExpression" in quotes.check_claims(claims, transcripts)._jdf.queryExecution().optimizedPlan().toString()
+    in_one = seen()
+    assert len(in_one) == len(told) + 1 and {x for _, _, x in in_one} == {True, False}
+    for block in (1, 5, 1000):
+        monkeypatch.setattr(quotes, "CLAIM_BLOCK", block)
+        assert seen() == in_one
+
+
 def test_exact_matches_by_anchor_too(spark, monkeypatch):
     texts = ["one two three four five six seven eight", "xone two three four five sixy seven", "five six"]
     texts += ["", None, "thirty-three four! FIVE"]

@@ -148,6 +148,8 @@ def candidate_windows(quote: Column, transcript: Column) -> Column:
 
 #: Characters are counted in so many classes.
 _CLASSES = 64
+#: About how many claims meet their transcript in one row, and the most characters of windows that are compared at once.
+CLAIM_BLOCK, WINDOW_CHARS = 64, 1_000_000
 
 
 class Transcript:
@@ -159,27 +161,52 @@ class Transcript:
         lengths = np.fromiter(map(len, self.words), dtype=np.int64, count=len(self.words))
         self.ends = np.cumsum(lengths + 1) - 1
         self.starts = self.ends - lengths
+        self.codes = self._codes(self.text)
         self._sums = None
 
     @staticmethod
-    def _classes(text: str) -> np.ndarray:
-        return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) % _CLASSES
+    def _codes(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
     def sums(self) -> np.ndarray:
         """For each class, how many of its characters stand before each word's start, and before the end of the text."""
         if self._sums is None:
             word = np.repeat(np.arange(len(self.words)), np.diff(np.append(self.starts, len(self.text))))
-            counts = np.bincount(word * _CLASSES + self._classes(self.text), minlength=len(self.words) * _CLASSES).reshape(-1, _CLASSES)
+            counts = np.bincount(word * _CLASSES + self.codes % _CLASSES, minlength=len(self.words) * _CLASSES).reshape(-1, _CLASSES)
             self._sums = np.concatenate([np.zeros((1, _CLASSES), dtype=np.int32), counts.cumsum(0, dtype=np.int32)])
         return self._sums
 
+    def common(self, quote: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Length of the longest common subsequence of the quote and each window of the text, none of them empty.
+
+        All windows are one bit row, a bit a character and a spare one behind each
+        window that takes its carry, so a character of the quote is one addition.
+        """
+        size = ends - starts
+        first = np.cumsum(size + 1) - size - 1
+        at = np.arange(first[-1] + size[-1] + 1)
+        spare = first + size
+        # the character at a spare bit is read but does not count
+        codes = self.codes[np.minimum(at + np.repeat(starts - first, size + 1), len(self.codes) - 1)]
+        inside = np.ones(len(at), dtype=bool)
+        inside[spare] = False
+        row = lambda bits: int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+        held = {c: row((codes == ord(c)) & inside) for c in set(quote)}
+        rest = mask = row(inside)
+        for c in quote:
+            if use := rest & held[c]:
+                rest = (rest + use | rest - use) & mask
+        bits = np.unpackbits(np.frombuffer(rest.to_bytes(len(at) // 8 + 1, "little"), dtype=np.uint8), bitorder="little")[: len(at)]
+        return size - np.add.reduceat(bits, first, dtype=np.int64)
+
     def holds_nearly(self, quote: str, threshold: float = FUZZY_THRESHOLD, autojunk: bool = True) -> bool:
         """Whether a window is as similar to the normalised quote as the threshold asks, by matching blocks.
 
         Matching blocks never hold more of a character than either side has, so
         the sums of the classes' lesser counts bound the ratio from above; for
-        all windows at once they come from differences of running sums, and
-        only windows that may reach the threshold are compared.
+        all windows at once they come from differences of running sums. Matching
+        blocks are also a common subsequence, so the longest one bounds the ratio
+        of what is left. Only windows that may reach the threshold are compared.
         """
         n = len(quote.split())
         if not n or n > len(self.words):
@@ -187,14 +214,20 @@ class Transcript:
         first = np.arange(0, len(self.words) - n + 1, max(1, n // 4))
         size = self.ends[first + n - 1] - self.starts[first]
         first = first[2 * np.minimum(size, len(quote)) >= threshold * (size + len(quote)) - 1e-9]
-        own = np.bincount(self._classes(quote), minlength=_CLASSES).astype(np.int32)
+        own = np.bincount(self._codes(quote) % _CLASSES, minlength=_CLASSES).astype(np.int32)
         close: list[tuple[int, int]] = []
         for part in np.split(first, range(4096, len(first), 4096)):  # bounded memory
             held = self.sums()[part + n] - self.sums()[part]
             common = np.minimum(held, own).sum(1)
             size = self.ends[part + n - 1] - self.starts[part]
             ok = 2 * common >= threshold * (size + len(quote)) - 1e-9
-            close += zip((-common[ok]).tolist(), part[ok].tolist())
+            part, size = part[ok], size[ok]
+            step = max(1, WINDOW_CHARS // int(size.max(initial=1)))
+            for at in range(0, len(part), step):
+                few, width = part[at : at + step], size[at : at + step]
+                common = self.common(quote, self.starts[few], self.ends[few + n - 1])
+                ok = 2 * common >= threshold * (width + len(quote)) - 1e-9
+                close += zip((-common[ok]).tolist(), few[ok].tolist())
         for window in dict.fromkeys(self.text[self.starts[i] : self.ends[i + n - 1]] for _, i in sorted(close)):
             if difflib.SequenceMatcher(None, quote, window, autojunk).ratio() >= threshold:
                 return True
@@ -210,14 +243,19 @@ def check_claims(claims: DataFrame, transcripts: DataFrame, threshold: float = F
     """claims with `quote_verified` against their video's transcript (video_id, transcript); no quote or no transcript fails.
 
     A video's claims meet its transcript as one row, so each transcript is
-    normalised once and moves once. Exact matches are settled in the JVM; what is
-    left goes to Arrow batches, where each transcript is made ready once.
+    normalised once. The row is dealt out by blocks of claims, so a long video is
+    no long task. Exact matches are settled in the JVM; what is left goes to Arrow
+    batches, where each transcript is made ready once a block.
     """
     claims = claims.drop("quote_verified")
     row = F.struct(*(F.col(c) for c in claims.columns))
     told = claims.groupBy("video_id").agg(F.collect_list(F.struct(row.alias("row"), normalized(F.coalesce("quote", F.lit(""))).alias("q"))).alias("told"))
     said = transcripts.select("video_id", normalized(F.coalesce("transcript", F.lit(""))).alias("t"))
-    met = told.join(said, "video_id", "left").select(F.coalesce("t", F.lit("")).alias("t"), "told")
+    n = F.ceil(F.size("told") / CLAIM_BLOCK)
+    # by hash, not by place: the order of a collected list may change when a task is run again
+    blocks = F.transform(F.sequence(F.lit(1).cast("long"), n), lambda i: F.filter("told", lambda c: F.pmod(F.xxhash64(c["q"]), n) == i - 1))
+    met = told.join(said, "video_id", "left").select("video_id", F.coalesce("t", F.lit("")).alias("t"), F.posexplode(blocks).alias("block", "told"))
+    met = met.where(F.size("told") > 0).repartition("video_id", "block")
     met = met.withColumn("exact", F.transform("told", lambda c: contains(c["q"], F.col("t"))))
     met = met.select(F.col("told.row").alias("rows"), F.col("told.q").alias("q"), "exact", "t")
 
@@ -226,7 +264,8 @@ def check_claims(claims: DataFrame, transcripts: DataFrame, threshold: float = F
             verified = []
             for quotes, exact, text in zip(batch.column("q").to_pylist(), batch.column("exact").to_pylist(), batch.column("t")):
                 transcript = Transcript(text.as_py()) if not all(exact) else None
-                verified.append([e or transcript.holds_nearly(q, threshold, autojunk) for q, e in zip(quotes, exact)])
+                near = {q: transcript.holds_nearly(q, threshold, autojunk) for q in {q for q, e in zip(quotes, exact) if not e}}
+                verified.append([e or near[q] for q, e in zip(quotes, exact)])
             yield pa.RecordBatch.from_arrays([batch.column("rows"), pa.array(verified, pa.list_(pa.bool_()))], names=["rows", "verified"])
 
     out = met.mapInArrow(work, met.select("rows", F.col("exact").alias("verified")).schema)
