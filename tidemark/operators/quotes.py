@@ -173,7 +173,8 @@ class Transcript:
         if self._sums is None:
             word = np.repeat(np.arange(len(self.words)), np.diff(np.append(self.starts, len(self.text))))
             counts = np.bincount(word * _CLASSES + self.codes % _CLASSES, minlength=len(self.words) * _CLASSES).reshape(-1, _CLASSES)
-            self._sums = np.concatenate([np.zeros((1, _CLASSES), dtype=np.int32), counts.cumsum(0, dtype=np.int32)])
+            self._sums = np.zeros((_CLASSES, len(self.words) + 1), dtype=np.int32)
+            counts.T.cumsum(1, out=self._sums[:, 1:])
         return self._sums
 
     def common(self, quote: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -211,26 +212,26 @@ class Transcript:
         n = len(quote.split())
         if not n or n > len(self.words):
             return False
-        first = np.arange(0, len(self.words) - n + 1, max(1, n // 4))
-        size = self.ends[first + n - 1] - self.starts[first]
-        first = first[2 * np.minimum(size, len(quote)) >= threshold * (size + len(quote)) - 1e-9]
+        step, last = max(1, n // 4), len(self.words) - n + 1
         own = np.bincount(self._codes(quote) % _CLASSES, minlength=_CLASSES).astype(np.int32)
-        close: list[tuple[int, int]] = []
-        for part in np.split(first, range(4096, len(first), 4096)):  # bounded memory
-            held = self.sums()[part + n] - self.sums()[part]
-            common = np.minimum(held, own).sum(1)
-            size = self.ends[part + n - 1] - self.starts[part]
-            ok = 2 * common >= threshold * (size + len(quote)) - 1e-9
-            part, size = part[ok], size[ok]
-            step = max(1, WINDOW_CHARS // int(size.max(initial=1)))
-            for at in range(0, len(part), step):
-                few, width = part[at : at + step], size[at : at + step]
-                common = self.common(quote, self.starts[few], self.ends[few + n - 1])
+        used = np.flatnonzero(own)
+        seen: set[str] = set()
+        for begin in range(0, last, 4096 * step):  # bounded memory
+            end = min(begin + 4096 * step, last)
+            held = self.sums()[used, begin + n : end + n : step] - self.sums()[used, begin:end:step]
+            size = self.ends[begin + n - 1 : end + n - 1 : step] - self.starts[begin:end:step]
+            ok = 2 * np.minimum(held, own[used, None]).sum(0) >= threshold * (size + len(quote)) - 1e-9
+            part, size = np.arange(begin, end, step)[ok], size[ok]
+            few = max(1, WINDOW_CHARS // int(size.max(initial=1)))
+            for at in range(0, len(part), few):
+                first, width = part[at : at + few], size[at : at + few]
+                common = self.common(quote, self.starts[first], self.ends[first + n - 1])
                 ok = 2 * common >= threshold * (width + len(quote)) - 1e-9
-                close += zip((-common[ok]).tolist(), few[ok].tolist())
-        for window in dict.fromkeys(self.text[self.starts[i] : self.ends[i + n - 1]] for _, i in sorted(close)):
-            if difflib.SequenceMatcher(None, quote, window, autojunk).ratio() >= threshold:
-                return True
+                for i in first[ok][np.argsort(-common[ok], kind="stable")].tolist():
+                    window = self.text[self.starts[i] : self.ends[i + n - 1]]
+                    if window not in seen and difflib.SequenceMatcher(None, quote, window, autojunk).ratio() >= threshold:
+                        return True
+                    seen.add(window)
         return False
 
 
